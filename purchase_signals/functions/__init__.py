@@ -2,7 +2,7 @@ from .sentiment import (
     DEFAULT_NEGATIVE,
     DEFAULT_POSITIVE,
     count_words,
-    guard_missing,
+    fill_missing,
     is_scored,
     lexicon_scorer,
     parse_score_response,
@@ -14,6 +14,7 @@ from .text import (
     clean_text,
     is_missing,
     model_input,
+    present,
     run_stamp,
     truncate_text,
 )
@@ -24,13 +25,14 @@ __all__ = [
     "clean_json_line",
     "clean_text",
     "count_words",
-    "guard_missing",
+    "fill_missing",
     "is_missing",
     "is_scored",
     "lexicon_scorer",
     "model_input",
     "parse_score_response",
     "polarity",
+    "present",
     "run_stamp",
     "sentiment_struct",
     "truncate_text",

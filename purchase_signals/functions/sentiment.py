@@ -15,7 +15,7 @@ from ..schema import (
     POSITIVE_SCORE,
     SENTIMENT_TYPE,
 )
-from .text import MAX_CHARS, is_missing, model_input
+from .text import MAX_CHARS, model_input, present
 
 # A small English word list so that the default scorer works out of the box. It
 # stands in for a trained model and does not claim that model's quality.
@@ -28,9 +28,6 @@ DEFAULT_NEGATIVE = (
     "hate horrible poor refund terrible trash unplayable waste worst"
 ).split()
 
-# Up to this many words one alternation is faster than splitting into tokens.
-_ALTERNATION_WORDS = 64
-
 
 def sentiment_struct(label: Column, score: Column, positive: Column, negative: Column) -> Column:
     values = (label, score, positive, negative)
@@ -51,32 +48,49 @@ def polarity(label: Column, score: Column) -> Column:
     )
 
 
-def guard_missing(text: Column, sentiment: Column) -> Column:
-    """NEUTRAL with zeros where the text is missing, else ``sentiment``.
+def fill_missing(sentiment: Column) -> Column:
+    """NEUTRAL and zeros for the fields of ``sentiment`` that are null.
 
-    Done field by field so that a reader of one field computes only that field.
+    ``coalesce`` always evaluates its first argument, so what the fields have in
+    common is computed once per row. Under a condition it would be computed for
+    each field anew.
     """
-    missing = is_missing(text)
+    zero = F.lit(0.0).cast("float")
     return F.struct(
-        F.when(missing, F.lit(NEUTRAL)).otherwise(sentiment["label"]).alias("label"),
+        F.coalesce(sentiment["label"], F.lit(NEUTRAL)).alias("label"),
         *[
-            F.when(missing, F.lit(0.0).cast("float")).otherwise(sentiment[f]).alias(f)
+            F.coalesce(sentiment[f], zero).alias(f)
             for f in ("score", POSITIVE_SCORE, NEGATIVE_SCORE)
         ],
     )
 
 
-def count_words(text: Column, words: Iterable[str]) -> Column:
-    """How many runs of the letters a-z in the lower-cased text are in ``words``."""
-    wanted = sorted({w.lower() for w in words if re.fullmatch("[a-z]+", w.lower())})
-    lowered = F.lower(text)
-    if not wanted:
-        return F.lit(0)
-    if len(wanted) <= _ALTERNATION_WORDS:
-        pattern = "(?<![a-z])(?:" + "|".join(wanted) + ")(?![a-z])"
-        return F.regexp_count(lowered, F.lit(pattern))
-    tokens = F.split(lowered, "[^a-z]+")
-    return F.size(F.filter(tokens, lambda token: token.isin(wanted)))
+def _listed(words: Iterable[str]) -> list[str]:
+    """The words that a run of the letters a-z can be equal to."""
+    return sorted({w.lower() for w in words if re.fullmatch("[a-z]+", w.lower())})
+
+
+def count_words(text: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
+    """Struct of ``positive`` and ``negative``: how many words of ``text`` each list holds.
+
+    Words are runs of the letters a-z in the lower-cased text. The words found in
+    either list are picked out first, in one pass whatever the length of the lists.
+    """
+    positive, negative = _listed(positive), _listed(negative)
+    words = F.split(F.lower(text), "[^a-z]+")
+    found = F.filter(words, lambda w: w.isin([*positive, *negative]))
+
+    def count(words, listed):
+        return F.array_size(F.filter(words, lambda w: w.isin(listed)))
+
+    # The array of one binds ``found`` to a name, so that it is computed once.
+    counts = F.transform(
+        F.array(found),
+        lambda words: F.struct(
+            count(words, positive).alias("positive"), count(words, negative).alias("negative")
+        ),
+    )
+    return F.get(counts, F.lit(0))
 
 
 def lexicon_scorer(
@@ -85,16 +99,21 @@ def lexicon_scorer(
     negative: Iterable[str] = DEFAULT_NEGATIVE,
     max_chars: int = MAX_CHARS,
 ) -> Column:
-    """Score a present text by the share of positive among all listed words."""
-    shown = model_input(F.coalesce(text, F.lit("")), max_chars)
-    p, n = count_words(shown, positive), count_words(shown, negative)
+    """Score a text by the share of positive among all listed words.
+
+    Missing text is NEUTRAL with zeros.
+    """
+    counts = count_words(model_input(present(text), max_chars), positive, negative)
+    p, n = counts["positive"], counts["negative"]
     share = (p + 1) / (p + n + 2)
     rest = F.lit(1.0) - share
-    return sentiment_struct(
-        F.when(share >= 0.5, F.lit(POSITIVE)).otherwise(F.lit(NEGATIVE)),
-        F.greatest(share, rest),
-        share,
-        rest,
+    return fill_missing(
+        sentiment_struct(
+            F.when(share >= 0.5, F.lit(POSITIVE)).when(share < 0.5, F.lit(NEGATIVE)),
+            F.greatest(share, rest),
+            share,
+            rest,
+        )
     )
 
 
@@ -104,24 +123,14 @@ def parse_score_response(response: Column) -> Column:
     A reply is a non-empty list whose first item is an object. A missing label
     means NEUTRAL, a missing score 0.5. Anything else is an ERROR with zeros.
     """
-    items = F.from_json(response, "array<map<string,string>>", {"allowSingleQuotes": "false"})
     # An object in place of the list would be read as a list of one.
-    is_list = F.startswith(F.ltrim(response), F.lit("["))
-    first = F.when(is_list, F.get(items, F.lit(0)))
-    label = F.when(F.map_contains_key(first, "label"), first["label"]).otherwise(F.lit(NEUTRAL))
-    score = F.when(
-        F.map_contains_key(first, "score"), first["score"].try_cast("double")
-    ).otherwise(F.lit(0.5))
-    usable = first.isNotNull() & score.isNotNull()
-    zero = F.lit(0.0).cast("float")
-    scored = polarity(label, score)
-    return F.struct(
-        F.when(usable, scored["label"]).otherwise(F.lit(ERROR)).alias("label"),
-        *[
-            F.when(usable, scored[f]).otherwise(zero).alias(f)
-            for f in ("score", POSITIVE_SCORE, NEGATIVE_SCORE)
-        ],
-    )
+    a_list = F.when(F.startswith(F.ltrim(response), F.lit("[")), response)
+    items = F.from_json(a_list, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    first = F.get(items, F.lit(0))
+    by_default = F.when(~F.map_contains_key(first, "score"), F.lit("0.5"))
+    score = F.coalesce(first["score"], by_default).try_cast("double")
+    label = F.coalesce(first["label"], F.lit(NEUTRAL))
+    return fill_missing(polarity(F.when(score.isNull(), F.lit(ERROR)).otherwise(label), score))
 
 
 def is_scored(sentiment: Column) -> Column:

@@ -15,6 +15,11 @@ def is_missing(text: Column) -> Column:
     return F.coalesce(text, F.lit("")) == ""
 
 
+def present(text: Column) -> Column:
+    """``text``, or null where it is missing."""
+    return F.when(text != "", text)
+
+
 def clean_text(text: Column) -> Column:
     """Put a backslash before each double quote and turn newlines into blanks."""
     escaped = F.replace(text, F.lit('"'), F.lit('\\"'))

@@ -28,15 +28,16 @@ def attach_by_key(
     key: str = GAME,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: int = HOT_SHARE,
+    written: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` with a table of one row per ``key``, null-safe.
 
-    ``per_key`` is written out and measured. If it is small, the join broadcasts it
+    ``per_key`` is written out, unless it is ``written`` already, and measured. If it is small, the join broadcasts it
     and ``rows`` are not shuffled. If not, the keys that hold more than one in
     ``hot_share`` of the rows are counted out; their rows get a broadcast of just
     those keys, and only the other rows are shuffled, none of whose keys is large.
     """
-    per_key = materialise(per_key, "per_key")
+    per_key = per_key if written else materialise(per_key, "per_key")
     added = [c for c in per_key.columns if c != key]
 
     def join(left, right, how="left"):

@@ -14,6 +14,7 @@ from .attach import attach_by_key, leave_one_out
 from .features import purchase_label
 
 INDEX, ENCODED, SCALED, FEATURES = "game_index", "game_encoded", "scaled", "features"
+WEIGHT = "weight"
 
 
 def running_total_before(value: str, order: str):
@@ -115,6 +116,7 @@ def training_frame(
     others_only: bool = False,
     on_unscored: str = "zero",
     grain: str = "review",
+    weighted: bool = False,
     **join_options,
 ) -> DataFrame:
     """``keep``, ``features`` and ``label``.
@@ -123,6 +125,10 @@ def training_frame(
     flag; ``others_only`` leaves the review itself out of its game's aggregates.
     ``grain="game"`` gives one row per game, labelled 1 if at least half of its
     reviews come with a purchase.
+
+    ``weighted`` gives one row per distinct example with its number of copies as
+    ``weight``. Features are per-game values, so that is a few rows per game. They
+    are grouped as plain numbers before any vector is made.
     """
     label = purchase_label(F.col(PURCHASE))
     if grain == "game":
@@ -130,8 +136,12 @@ def training_frame(
         rows = model.per_game.join(rate, F.col(GAME).eqNullSafe(F.col("_game")))
         label = F.when(F.col("_rate") >= 0.5, 1).otherwise(0)
     elif grain == "review":
-        rows = attach_by_key(df, model.per_game, **join_options)
+        rows = attach_by_key(df, model.per_game, written=True, **join_options)
         rows = leave_one_out(rows, on_unscored) if others_only else rows
     else:
         raise ValueError(f"grain: {grain}")
-    return model.transform(rows).select(*keep, FEATURES, label.alias("label"))
+    rows = rows.select(*keep, *AGGREGATE_COLUMNS, INDEX, label.alias("label"))
+    if weighted:
+        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    extra = [WEIGHT] if weighted else []
+    return model.transform(rows).select(*keep, FEATURES, "label", *extra)

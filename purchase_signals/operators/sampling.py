@@ -26,7 +26,7 @@ def smallest_rows(df: DataFrame, by: Column, key: str | Column, n: int) -> DataF
     )
     # Null while fewer than n rows have a value: then every row stays in.
     bound = first.limit(n).agg(F.when(F.count(_ORDER) == n, F.max(_ORDER))).scalar()
-    near = ordered.where(F.coalesce(F.col(_ORDER) <= bound, bound.isNull()))
+    near = ordered.where(F.coalesce(F.col(_ORDER) <= bound, F.lit(True)))
     return near.orderBy(*order).limit(n).drop(_ORDER)
 
 

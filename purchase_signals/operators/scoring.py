@@ -6,8 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sentiment import guard_missing, lexicon_scorer
-from ..functions.text import MAX_CHARS, model_input
+from ..functions.sentiment import fill_missing, lexicon_scorer
+from ..functions.text import MAX_CHARS, model_input, present
 from ..schema import SENTIMENT, SENTIMENT_TYPE, TEXT
 
 Scorer = Callable[[Column], Column]
@@ -24,12 +24,11 @@ def score_reviews(
     """Add the sentiment struct with a scorer made of built-in expressions.
 
     ``partitions`` spreads the rows before they are scored; leave it out when the
-    input files already split into enough tasks. Missing text never needs to be
-    handled by ``scorer``.
+    input files already split into enough tasks. ``scorer`` is given null for missing
+    text; fields it leaves null become NEUTRAL and zeros.
     """
     rows = df.repartition(partitions) if partitions else df
-    text = F.col(text_col)
-    return rows.withColumn(SENTIMENT, guard_missing(text, scorer(text)))
+    return rows.withColumn(SENTIMENT, fill_missing(scorer(present(F.col(text_col)))))
 
 
 def score_reviews_batch(

@@ -449,9 +449,10 @@ def q_training_frame(spark, sf_dir):
 
 def _trained(spark, sf_dir, rounds=3):
     rows, model = _fact_model(spark, sf_dir, one_hot=False)
-    frame = training_frame(rows, model, keep=["review_id"], others_only=True)
-    train, val = split_by_key(frame, "review_id")
-    return training.train_gbt(train.select("features", "label"), rounds), val
+    train, val = split_by_key(rows, "review_id")
+    examples = training_frame(train, model, others_only=True, weighted=True)
+    validation = training_frame(val, model, keep=["review_id"], others_only=True)
+    return training.train_gbt(examples, rounds), validation
 
 
 def q_train_gbt(spark, sf_dir):

@@ -8,11 +8,12 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.encoding import FEATURES, WEIGHT
 from ..operators.features import feature_columns
 from ..operators.metrics import auc_binned, auc_exact
 from ..shared import ensure_checkpoint_dir, materialise
 
-FEATURES, LABEL, WEIGHT = "features", "label", "weight"
+LABEL = "label"
 
 
 def collapse_examples(df: DataFrame) -> DataFrame:
@@ -20,19 +21,20 @@ def collapse_examples(df: DataFrame) -> DataFrame:
 
     Features are per-game values, so the reviews of a game share one vector and
     the result has a few rows per game. A weighted fit on it has the same objective
-    as an unweighted fit on all reviews.
+    as an unweighted fit on all reviews. Weights that are there already are summed.
     """
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    copies = F.sum(WEIGHT) if WEIGHT in df.columns else F.count(F.lit(1)).cast("double")
+    return df.groupBy(*[c for c in df.columns if c != WEIGHT]).agg(copies.alias(WEIGHT))
 
 
 def train_gbt(train: DataFrame, max_iter: int = 50, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees on every column but ``label``.
+    """Gradient-boosted trees on every column but ``label`` and ``weight``.
 
     The distinct examples are written out before the fit: its many passes then
     read a small table and survive the loss of an executor.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    columns = feature_columns(train, LABEL)
+    columns = feature_columns(train.drop(WEIGHT), LABEL)
     ready = columns == [FEATURES] and isinstance(train.schema[FEATURES].dataType, VectorUDT)
     stages = [] if ready else [VectorAssembler(inputCols=columns, outputCol=FEATURES)]
     trees = GBTClassifier(

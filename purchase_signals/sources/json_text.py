@@ -37,15 +37,15 @@ def parse_json_lines(
     # changes the number of elements or breaks the array.
     wrapped = F.concat(F.lit("["), F.col("_line"), F.lit(",null]"))
     items = F.from_json(wrapped, T.ArrayType(fields), _STRICT)
-    parsed = candidates.select("*", items.alias("_items"))
-    is_object = F.coalesce(
-        (F.size("_items") == 2) & F.get("_items", F.lit(0)).isNotNull(), F.lit(False)
+    # Nothing or one parsed line; the array of one lets a line be parsed once.
+    objects = F.filter(
+        F.array(items), lambda i: (F.array_size(i) == 2) & F.get(i, F.lit(0)).isNotNull()
     )
     row = F.get("_items", F.lit(0))
-    good = parsed.where(is_object).select(
+    good = candidates.select(*carried, F.explode(objects).alias("_items")).select(
         *carried, *[row.getField(f.name).alias(f.name) for f in fields]
     )
-    bad = parsed.where(~is_object).select(*carried, F.col("_line").alias("line"))
+    bad = candidates.where(F.array_size(objects) == 0).select(*carried, F.col("_line").alias("line"))
     return good, bad
 
 
