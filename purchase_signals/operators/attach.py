@@ -41,9 +41,9 @@ def attach_by_key(
     added = [c for c in per_key.columns if c != key]
 
     def join(left, right, how="left"):
-        right = right.withColumnRenamed(key, "_key")
-        joined = left.join(right, F.col(key).eqNullSafe(F.col("_key")), how)
-        return joined.drop("_key") if how in ("left", "inner") else joined
+        right = right.withColumnRenamed(key, "_joined_key")
+        joined = left.join(right, F.col(key).eqNullSafe(F.col("_joined_key")), how)
+        return joined.drop("_joined_key") if how in ("left", "inner") else joined
 
     if _table_bytes(per_key, key) <= broadcast_bytes:
         return join(rows, F.broadcast(per_key))

@@ -10,7 +10,7 @@ from ..functions.sentiment import lexicon_scorer
 # Common words, since the test texts are invented prose.
 TEST_POSITIVE = ["the", "and", "is", "that", "la", "der"]
 TEST_NEGATIVE = ["of", "to", "was", "with", "le", "und"]
-test_scorer = partial(lexicon_scorer, positive=TEST_POSITIVE, negative=TEST_NEGATIVE)
+benchmark_scorer = partial(lexicon_scorer, positive=TEST_POSITIVE, negative=TEST_NEGATIVE)
 
 # SQL text that Spark and DuckDB read alike.
 REVIEW_EXPRESSIONS = [

@@ -46,7 +46,7 @@ def prepare(
     flat = flatten_sentiment(select_columns(scored, keep), on_unscored == "exclude")
     flat = fill_numeric(flat)
     if key is None:
-        key = "_key"
+        key = "_split_key"
         flat = flat.withColumn(key, F.xxhash64(*flat.columns))
     model = fit_features(game_aggregates(flat, on_unscored, with_sums=True), one_hot)
     frame = training_frame(

@@ -37,7 +37,7 @@ from .inputs import (
     reviews,
     reviews_fact,
     table,
-    test_scorer,
+    benchmark_scorer,
 )
 
 PROPS_SCHEMA = "k bigint"
@@ -56,7 +56,7 @@ def struct_fields(df: DataFrame, column: str = SENTIMENT) -> DataFrame:
 
 
 def scored_reviews(spark, sf_dir: str) -> DataFrame:
-    return score_reviews(reviews(spark, sf_dir), test_scorer)
+    return score_reviews(reviews(spark, sf_dir), benchmark_scorer)
 
 
 def flat_reviews(spark, sf_dir: str, with_scored: bool = False) -> DataFrame:
@@ -202,7 +202,7 @@ def q_score_reviews(spark, sf_dir):
 
 
 def q_repartition_score(spark, sf_dir):
-    return struct_fields(score_reviews(reviews(spark, sf_dir), test_scorer, partitions=10))
+    return struct_fields(score_reviews(reviews(spark, sf_dir), benchmark_scorer, partitions=10))
 
 
 def q_score_reviews_batch(spark, sf_dir):
@@ -487,7 +487,7 @@ def q_end_to_end(spark, sf_dir):
     source = write_parquet(reviews(spark, sf_dir), shared_path(spark, "source"))
     out = shared_path(spark, "job")
     report = jobs.run(
-        spark, source, out, test_scorer, max_iter=2, key="review_id", one_hot=False
+        spark, source, out, benchmark_scorer, max_iter=2, key="review_id", one_hot=False
     )
     rows = [
         spark.read.parquet(report[part]).groupBy("label").agg(F.count(F.lit(1)).alias("reviews"))
