@@ -1,4 +1,4 @@
-"""spark-submit entry: score, prepare, train, or all of them with run."""
+"""spark-submit entry: sample and load raw JSON; score, prepare, train, or all three with run."""
 
 import argparse
 import functools
@@ -7,6 +7,7 @@ import json
 from pyspark.sql import SparkSession
 
 from .functions.sentiment import DEFAULT_NEGATIVE, DEFAULT_POSITIVE, lexicon_scorer
+from .plans.ingest import load_json, rejected_lines, sample_json
 from .plans.jobs import run
 from .plans.preparation import prepare, score_run
 from .plans.training import evaluate, save_model, train_gbt
@@ -45,6 +46,19 @@ def parser() -> argparse.ArgumentParser:
     training = argparse.ArgumentParser(add_help=False)
     training.add_argument("--max-iter", type=int, default=50)
 
+    step = steps.add_parser("sample")
+    step.add_argument("--input", required=True, help="JSON, one object per line")
+    step.add_argument("--output", required=True)
+    step.add_argument("--first", type=int, default=1000, help="valid rows to sample from")
+    step.add_argument("--rows", type=int, default=200)
+    step.add_argument("--seed", type=int, default=42)
+
+    step = steps.add_parser("load")
+    step.add_argument("--input", required=True, help="JSON files")
+    step.add_argument("--output", required=True, help="table to append to")
+    step.add_argument("--lines", action="store_true", help="one object per line")
+    step.add_argument("--rejected", help="with --lines: where bad lines go")
+
     step = steps.add_parser("score", parents=[scoring])
     step.add_argument("--input", required=True, help="Parquet reviews")
     step.add_argument("--output", required=True, help="root of the scored runs")
@@ -67,7 +81,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv=None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"purchase_signals {args.step}").getOrCreate()
-    if args.step == "score":
+    if args.step == "sample":
+        path = sample_json(spark, args.input, args.output, args.first, args.rows, args.seed)
+        result = {"sample": path}
+    elif args.step == "load":
+        result = {"inserted": load_json(spark, args.input, args.output, lines=args.lines)}
+        if args.lines and args.rejected:
+            result["rejected"] = rejected_lines(spark, args.input, args.rejected)
+    elif args.step == "score":
         path = score_run(spark, args.input, args.output, _scorer(args), args.partitions)
         result = {"scored": path}
     elif args.step == "prepare":

@@ -1,3 +1,4 @@
+from .ingest import load_json, rejected_lines, sample_json
 from .jobs import run
 from .preparation import prepare, score_run
 from .training import (
@@ -13,9 +14,12 @@ __all__ = [
     "batch_predict",
     "collapse_examples",
     "evaluate",
+    "load_json",
     "predictions",
     "prepare",
+    "rejected_lines",
     "run",
+    "sample_json",
     "save_model",
     "score_run",
     "train_gbt",

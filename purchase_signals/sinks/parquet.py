@@ -57,6 +57,10 @@ def append_load(df: DataFrame, path: str, fmt: str = "parquet", options: dict |
     return inserted.get["inserted"]
 
 
-def write_sample(df: DataFrame, key: str, path: str, n: int = 200, seed: int = 42) -> str:
+def write_sample(
+    df: DataFrame, key: str, path: str, n: int = 200, seed: int = 42, drop_key: bool = False
+) -> str:
     """Write ``min(n, rows)`` sampled rows as one Parquet file."""
-    return write_parquet(sample_exact(df, key, n, seed).coalesce(1), path)
+    sample = sample_exact(df, key, n, seed)
+    sample = sample.drop(key) if drop_key else sample
+    return write_parquet(sample.coalesce(1), path)
