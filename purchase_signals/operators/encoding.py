@@ -8,7 +8,14 @@ from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, SQLTransformer, Vect
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import AGGREGATE_COLUMNS, GAME, PURCHASE
+from ..schema import (
+    AGGREGATE_COLUMNS,
+    GAME,
+    NEGATIVE_SCORE,
+    POSITIVE_SCORE,
+    PURCHASE,
+    VOTE,
+)
 from ..shared import materialise
 from .attach import attach_by_key, leave_one_out
 from .features import purchase_label
@@ -127,21 +134,29 @@ def training_frame(
     reviews come with a purchase.
 
     ``weighted`` gives one row per distinct example with its number of copies as
-    ``weight``. Features are per-game values, so that is a few rows per game. They
-    are grouped as plain numbers before any vector is made.
+    ``weight``. Features follow from the game and, with ``others_only``, from the
+    review's own vote and scores. Reviews alike in those are counted first, so the
+    join and the encoding work on a few rows per game.
     """
     label = purchase_label(F.col(PURCHASE))
     if grain == "game":
         rate = df.groupBy(F.col(GAME).alias("_game")).agg(F.avg(label).alias("_rate"))
         rows = model.per_game.join(rate, F.col(GAME).eqNullSafe(F.col("_game")))
-        label = F.when(F.col("_rate") >= 0.5, 1).otherwise(0)
+        rows = rows.withColumn("label", F.when(F.col("_rate") >= 0.5, 1).otherwise(0))
     elif grain == "review":
-        rows = attach_by_key(df, model.per_game, written=True, **join_options)
+        own = [VOTE, POSITIVE_SCORE, NEGATIVE_SCORE] if others_only else []
+        own += ["scored"] if others_only and on_unscored == "exclude" else []
+        rows = df.select(*dict.fromkeys([*keep, GAME, *own]), label.alias("label"))
+        if weighted:
+            rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+        rows = attach_by_key(rows, model.per_game, written=True, **join_options)
         rows = leave_one_out(rows, on_unscored) if others_only else rows
     else:
         raise ValueError(f"grain: {grain}")
-    rows = rows.select(*keep, *AGGREGATE_COLUMNS, INDEX, label.alias("label"))
+    columns = [*keep, *AGGREGATE_COLUMNS, INDEX, "label"]
     if weighted:
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-    extra = [WEIGHT] if weighted else []
-    return model.transform(rows).select(*keep, FEATURES, "label", *extra)
+        copies = F.sum(WEIGHT) if grain == "review" else F.count(F.lit(1))
+        rows = rows.groupBy(*columns).agg(copies.cast("double").alias(WEIGHT))
+    weight = [WEIGHT] if weighted else []
+    encoded = model.transform(rows.select(*columns, *weight))
+    return encoded.select(*keep, FEATURES, "label", *weight)

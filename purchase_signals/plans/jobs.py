@@ -7,7 +7,6 @@ from pyspark.sql import SparkSession
 from ..functions.sentiment import lexicon_scorer
 from ..operators.quality import sentiment_label_counts
 from ..sinks.parquet import run_path, write_parquet
-from ..sources.reviews import read_latest_run
 from .preparation import prepare, score_run
 from .training import evaluate, save_model, train_gbt
 
@@ -29,9 +28,8 @@ def run(
     Each step writes its result below ``out`` and the next one reads it from there,
     so text is scored once and a failed job can be taken up at any step.
     """
-    scored_root = f"{out}/scored"
-    scored_path = score_run(spark, source, scored_root, scorer, partitions)
-    scored = read_latest_run(spark, scored_root)
+    scored_path = score_run(spark, source, f"{out}/scored", scorer, partitions)
+    scored = spark.read.parquet(scored_path)
     train_path, val_path = prepare(
         scored, f"{out}/prepared", key, one_hot, others_only, on_unscored
     )

@@ -37,12 +37,8 @@ def read_reviews(spark: SparkSession, path, schema=None) -> DataFrame:
     return conform(spark.read.parquet(path))
 
 
-def finished_runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    """(stamp, path) of each run folder below ``root`` that was written to its end.
-
-    Goes through the Hadoop file system, so object stores work too. Only folder
-    names travel to the driver.
-    """
+def _finished_runs(spark: SparkSession, root: str):
+    """(stamp, path) of finished runs, newest first, looked at one by one."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -50,21 +46,27 @@ def finished_runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     for status in fs.listStatus(folder):
         path = status.getPath()
         stamp = re.search(RUN_STAMP, path.getName())
-        if status.isDirectory() and stamp and fs.exists(hadoop.Path(path, "_SUCCESS")):
-            runs.append((stamp.group(1), path.toString()))
-    return sorted(runs)
+        if status.isDirectory() and stamp:
+            runs.append((stamp.group(1), path.toString(), path))
+    for stamp, name, path in sorted(runs, key=lambda run: run[:2], reverse=True):
+        if fs.exists(hadoop.Path(path, "_SUCCESS")):
+            yield stamp, name
 
 
-def _runs_or_fail(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    runs = finished_runs(spark, root)
-    if not runs:
-        raise FileNotFoundError(f"no finished run under {root}")
-    return runs
+def finished_runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(stamp, path) of each run folder below ``root`` that was written to its end.
+
+    Goes through the Hadoop file system, so object stores work too. Only folder
+    names travel to the driver.
+    """
+    return sorted(_finished_runs(spark, root))
 
 
 def read_all_runs(spark: SparkSession, root: str) -> DataFrame:
     """Every finished run below ``root``, told apart by the ``run_ts`` column."""
-    paths = [path for _, path in _runs_or_fail(spark, root)]
+    paths = [path for _, path in finished_runs(spark, root)]
+    if not paths:
+        raise FileNotFoundError(f"no finished run under {root}")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{8}_\d{6})/[^/]*$", 1)
     frame = spark.read.parquet(*paths)
     return frame.select("*", folder.alias("run_ts"))
@@ -72,4 +74,6 @@ def read_all_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def read_latest_run(spark: SparkSession, root: str) -> DataFrame:
     """The newest finished run below ``root``; no other folder is opened."""
-    return spark.read.parquet(_runs_or_fail(spark, root)[-1][1])
+    for _, path in _finished_runs(spark, root):
+        return spark.read.parquet(path)
+    raise FileNotFoundError(f"no finished run under {root}")
