@@ -1,7 +1,7 @@
 """Sentiment as a struct of label, score, positive_score and negative_score."""
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,12 +49,7 @@ def polarity(label: Column, score: Column) -> Column:
 
 
 def fill_missing(sentiment: Column) -> Column:
-    """NEUTRAL and zeros for the fields of ``sentiment`` that are null.
-
-    ``coalesce`` always evaluates its first argument, so what the fields have in
-    common is computed once per row. Under a condition it would be computed for
-    each field anew.
-    """
+    """NEUTRAL and zeros for the fields of ``sentiment`` that are null."""
     zero = F.lit(0.0).cast("float")
     return F.struct(
         F.coalesce(sentiment["label"], F.lit(NEUTRAL)).alias("label"),
@@ -65,6 +60,15 @@ def fill_missing(sentiment: Column) -> Column:
     )
 
 
+def bind(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` computed once, however often ``build`` uses it.
+
+    Written out in place, a costly value would be planned again at each use, and run
+    again at those under a condition.
+    """
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def _listed(words: Iterable[str]) -> list[str]:
     """The words that a run of the letters a-z can be equal to."""
     return sorted({w.lower() for w in words if re.fullmatch("[a-z]+", w.lower())})
@@ -83,14 +87,12 @@ def count_words(text: Column, positive: Iterable[str], negative: Iterable[str])
     def count(words, listed):
         return F.array_size(F.filter(words, lambda w: w.isin(listed)))
 
-    # The array of one binds ``found`` to a name, so that it is computed once.
-    counts = F.transform(
-        F.array(found),
+    return bind(
+        found,
         lambda words: F.struct(
             count(words, positive).alias("positive"), count(words, negative).alias("negative")
         ),
     )
-    return F.get(counts, F.lit(0))
 
 
 def lexicon_scorer(
@@ -104,17 +106,15 @@ def lexicon_scorer(
     Missing text is NEUTRAL with zeros.
     """
     counts = count_words(model_input(present(text), max_chars), positive, negative)
-    p, n = counts["positive"], counts["negative"]
-    share = (p + 1) / (p + n + 2)
-    rest = F.lit(1.0) - share
-    return fill_missing(
-        sentiment_struct(
-            F.when(share >= 0.5, F.lit(POSITIVE)).when(share < 0.5, F.lit(NEGATIVE)),
-            F.greatest(share, rest),
-            share,
-            rest,
-        )
-    )
+
+    def score(counts):
+        p, n = counts["positive"], counts["negative"]
+        share = (p + 1) / (p + n + 2)
+        rest = F.lit(1.0) - share
+        label = F.when(share >= 0.5, F.lit(POSITIVE)).when(share < 0.5, F.lit(NEGATIVE))
+        return fill_missing(sentiment_struct(label, F.greatest(share, rest), share, rest))
+
+    return bind(counts, score)
 
 
 def parse_score_response(response: Column) -> Column:
@@ -126,11 +126,15 @@ def parse_score_response(response: Column) -> Column:
     # An object in place of the list would be read as a list of one.
     a_list = F.when(F.startswith(F.ltrim(response), F.lit("[")), response)
     items = F.from_json(a_list, "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    first = F.get(items, F.lit(0))
-    by_default = F.when(~F.map_contains_key(first, "score"), F.lit("0.5"))
-    score = F.coalesce(first["score"], by_default).try_cast("double")
-    label = F.coalesce(first["label"], F.lit(NEUTRAL))
-    return fill_missing(polarity(F.when(score.isNull(), F.lit(ERROR)).otherwise(label), score))
+
+    def read(first):
+        by_default = F.when(~F.map_contains_key(first, "score"), F.lit("0.5"))
+        score = F.coalesce(first["score"], by_default).try_cast("double")
+        label = F.coalesce(first["label"], F.lit(NEUTRAL))
+        label = F.when(score.isNull(), F.lit(ERROR)).otherwise(label)
+        return fill_missing(polarity(label, score))
+
+    return bind(F.get(items, F.lit(0)), read)
 
 
 def is_scored(sentiment: Column) -> Column:

@@ -28,7 +28,8 @@ def score_reviews(
     text; fields it leaves null become NEUTRAL and zeros.
     """
     rows = df.repartition(partitions) if partitions else df
-    return rows.withColumn(SENTIMENT, fill_missing(scorer(present(F.col(text_col)))))
+    scored = rows.withColumn(SENTIMENT, scorer(present(F.col(text_col))))
+    return scored.withColumn(SENTIMENT, fill_missing(F.col(SENTIMENT)))
 
 
 def score_reviews_batch(
