@@ -1,5 +1,6 @@
 """Joining per-game rows back to the reviews."""
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +16,12 @@ HOT_SHARE = 1000
 
 
 def _table_bytes(df: DataFrame, key: str) -> int:
-    """Size of a table of one key and fixed-width columns, counted from its rows."""
-    width = 32 + 8 * len(df.columns)
+    """Size of a table of a key, numbers and feature vectors, counted from its rows.
+
+    A vector holds five scaled values and at most one slot of a one-hot encoding.
+    """
+    vectors = sum(isinstance(f.dataType, VectorUDT) for f in df.schema)
+    width = 32 + 8 * len(df.columns) + 160 * vectors
     keys = F.sum(F.octet_length(F.col(key).cast("string")))
     n, text = df.agg(F.count(F.lit(1)), F.coalesce(keys, F.lit(0))).first()
     return n * width + text

@@ -99,6 +99,13 @@ class FeatureModel:
         """The per-game table with its encoded columns."""
         return self.transform(self.per_game)
 
+    def vector_of_no_game(self) -> DataFrame:
+        """One row: the features of a game that the model was not fitted on."""
+        zeros = [F.lit(0).cast(self.per_game.schema[c].dataType).alias(c) for c in AGGREGATE_COLUMNS]
+        nothing = self.per_game.sparkSession.range(1)
+        nothing = nothing.select(*zeros, F.lit(self.n_games).cast("bigint").alias(INDEX))
+        return self.transform(nothing).select(FEATURES)
+
 
 def fit_features(aggs: DataFrame, one_hot: bool = True) -> FeatureModel:
     """Fit index, encoder and scaler on one row per game."""
@@ -138,25 +145,30 @@ def training_frame(
     review's own vote and scores. Reviews alike in those are counted first, so the
     join and the encoding work on a few rows per game.
     """
+    if grain not in ("review", "game"):
+        raise ValueError(f"grain: {grain}")
     label = purchase_label(F.col(PURCHASE))
     if grain == "game":
         rate = df.groupBy(F.col(GAME).alias("_game")).agg(F.avg(label).alias("_rate"))
-        rows = model.per_game.join(rate, F.col(GAME).eqNullSafe(F.col("_game")))
+        rows = model.encode_games().join(rate, F.col(GAME).eqNullSafe(F.col("_game")))
         rows = rows.withColumn("label", F.when(F.col("_rate") >= 0.5, 1).otherwise(0))
-    elif grain == "review":
+        rows = rows.withColumn(WEIGHT, F.lit(1))
+    else:
         own = [VOTE, POSITIVE_SCORE, NEGATIVE_SCORE] if others_only else []
         own += ["scored"] if others_only and on_unscored == "exclude" else []
         rows = df.select(*dict.fromkeys([*keep, GAME, *own]), label.alias("label"))
         if weighted:
             rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(WEIGHT))
-        rows = attach_by_key(rows, model.per_game, written=True, **join_options)
-        rows = leave_one_out(rows, on_unscored) if others_only else rows
-    else:
-        raise ValueError(f"grain: {grain}")
-    columns = [*keep, *AGGREGATE_COLUMNS, INDEX, "label"]
-    if weighted:
-        copies = F.sum(WEIGHT) if grain == "review" else F.count(F.lit(1))
-        rows = rows.groupBy(*columns).agg(copies.cast("double").alias(WEIGHT))
-    weight = [WEIGHT] if weighted else []
-    encoded = model.transform(rows.select(*columns, *weight))
-    return encoded.select(*keep, FEATURES, "label", *weight)
+        if others_only:
+            rows = attach_by_key(rows, model.per_game, written=True, **join_options)
+            rows = model.transform(leave_one_out(rows, on_unscored))
+        else:
+            # All reviews of a game share its vector: encode games, not reviews.
+            vectors = model.encode_games().select(GAME, FEATURES)
+            rows = attach_by_key(rows, vectors, **join_options)
+            known = F.coalesce(F.col(FEATURES), model.vector_of_no_game().scalar())
+            rows = rows.withColumn(FEATURES, known)
+    columns = [*keep, FEATURES, "label"]
+    if not weighted:
+        return rows.select(*columns)
+    return rows.groupBy(*columns).agg(F.sum(WEIGHT).cast("double").alias(WEIGHT))
