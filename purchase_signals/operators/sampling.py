@@ -39,10 +39,14 @@ def sample_exact(df: DataFrame, key: str | Column, n: int = 200, seed: int = 42)
     return smallest_rows(df, ticket, key, n)
 
 
-def split_bucket(key: str | Column) -> Column:
-    """0 to 99 from the first 32 bits of the MD5 of ``key``."""
-    digest = F.md5(F.coalesce(_column(key).cast("string"), F.lit("")))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(100))
+def in_train(key: str | Column, train_pct: int) -> Column:
+    """Whether the MD5 of ``key`` is in the lower ``train_pct`` percent of all values.
+
+    Digests are compared as hexadecimal text, which sorts like the numbers.
+    """
+    bound = train_pct * 2**128 // 100
+    bound = f"{bound:032x}" if bound < 2**128 else "g"
+    return F.md5(F.coalesce(_column(key).cast("string"), F.lit(""))) < bound
 
 
 def split_by_key(
@@ -52,8 +56,8 @@ def split_by_key(
 
     A row's side depends on its key alone, not on partitions, order or run.
     """
-    bucket = split_bucket(key)
-    return df.where(bucket < train_pct), df.where(bucket >= train_pct)
+    train = in_train(key, train_pct)
+    return df.where(train), df.where(~train)
 
 
 def split_random(

@@ -79,7 +79,8 @@ judged AS (
   SELECT *, json_valid(line) AND line[1] = '{' AS is_object FROM cleaned
   WHERE line NOT IN ('', '[', ']'))"""
 
-BUCKET = "(('0x' || substr(md5(CAST(review_id AS VARCHAR)), 1, 8))::BIGINT) % 100"
+# Four fifths of all digests sort before this one.
+IN_TRAIN = f"md5(CAST(review_id AS VARCHAR)) < '{'c' * 32}'"
 
 ENCODED = f"""{FACT},
 games AS ({_aggregates("fact", 15)}),
@@ -132,7 +133,7 @@ ORACLES = {
     "write_roundtrip": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "write_train_val": f"""WITH {REVIEWS} SELECT review_id, game,
       coalesce(CAST(steam_purchase AS INT), 0) AS label,
-      CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'validation' END AS part FROM reviews""",
+      CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'validation' END AS part FROM reviews""",
     "append_load": """SELECT event_id, event_type, value FROM events WHERE event_id % 2 = 0
       UNION ALL SELECT event_id, event_type, value FROM events""",
     "write_sample": f"""WITH {REVIEWS} SELECT review_id, game FROM reviews
@@ -193,9 +194,9 @@ ORACLES = {
     "sample_200": f"""WITH {REVIEWS} SELECT review_id, game, language, review FROM reviews
       ORDER BY md5(concat('42_', CAST(review_id AS VARCHAR))), review_id LIMIT 200""",
     "split_train": f"""WITH {REVIEWS} SELECT review_id, game, voted_up FROM reviews
-      WHERE {BUCKET} < 80""",
+      WHERE {IN_TRAIN}""",
     "split_val": f"""WITH {REVIEWS} SELECT review_id, game, voted_up FROM reviews
-      WHERE {BUCKET} >= 80""",
+      WHERE NOT {IN_TRAIN}""",
     "clean_text": """SELECT doc_id, replace(replace(text, '"', '\\"'), chr(10), ' ') AS cleaned
       FROM documents""",
     "truncate_text": """SELECT doc_id,
@@ -238,6 +239,6 @@ ORACLES = {
         / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y))), 8) AS auc FROM r""",
     "end_to_end": f"""WITH {REVIEWS}, halves AS (
       SELECT coalesce(CAST(steam_purchase AS INT), 0) AS label,
-        CASE WHEN {BUCKET} < 80 THEN 'train' ELSE 'validation' END AS part FROM reviews)
+        CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'validation' END AS part FROM reviews)
       SELECT part, label, count(*) AS reviews FROM halves GROUP BY part, label""",
 }
