@@ -10,8 +10,9 @@ from .aggregates import SUM_COLUMNS, ratio
 from .features import vote_flags
 
 BROADCAST_BYTES = 64 << 20
-# A key with more than one in this many rows is joined apart. There are fewer such
-# keys than this number, whatever the data.
+# A key with more than one in this many rows is joined apart, or in as many rows as
+# there are shuffle partitions, if these are more. There are fewer such keys than
+# that number, whatever the data.
 HOT_SHARE = 1000
 
 
@@ -32,15 +33,16 @@ def attach_by_key(
     per_key: DataFrame,
     key: str = GAME,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: int = HOT_SHARE,
+    hot_share: int | None = None,
     written: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` with a table of one row per ``key``, null-safe.
 
-    ``per_key`` is written out, unless it is ``written`` already, and measured. If it is small, the join broadcasts it
-    and ``rows`` are not shuffled. If not, the keys that hold more than one in
-    ``hot_share`` of the rows are counted out; their rows get a broadcast of just
-    those keys, and only the other rows are shuffled, none of whose keys is large.
+    ``per_key`` is written out, unless it is ``written`` already, and measured. If it
+    is small, the join broadcasts it and ``rows`` are not shuffled. If not, the keys
+    that hold more than one in ``hot_share`` of the rows are counted out; their rows
+    get a broadcast of just those keys, and only the other rows are shuffled, none
+    of whose keys is larger than an average partition.
     """
     per_key = per_key if written else materialise(per_key, "per_key")
     added = [c for c in per_key.columns if c != key]
@@ -53,6 +55,9 @@ def attach_by_key(
     if _table_bytes(per_key, key) <= broadcast_bytes:
         return join(rows, F.broadcast(per_key))
 
+    if hot_share is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot_share = max(HOT_SHARE, partitions)
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     counts = materialise(counts, "key_counts")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]

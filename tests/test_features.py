@@ -124,7 +124,7 @@ def test_vote_split_and_feature_columns(flat):
     assert len(feature_columns(flat, "steam_purchase")) == 6
 
 
-@pytest.mark.parametrize("broadcast_bytes, hot_share", [(1 << 20, 1000), (0, 10), (0, 1), (0, 10**9)])
+@pytest.mark.parametrize("broadcast_bytes, hot_share", [(1 << 20, None), (0, None), (0, 10), (0, 1), (0, 10**9)])
 def test_attach_gives_the_same_on_every_path(spark, broadcast_bytes, hot_share):
     rows, df = random_rows(spark)
     # A game that rows have and the table lacks, and the other way round.
