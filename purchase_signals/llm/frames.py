@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shared import materialise
 
+PIECE = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,11 +58,26 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` of a function that takes one record batch and gives one."""
+    """``mapInArrow`` of a function that takes one record batch and gives one.
+
+    Batches are cut so that their texts have about ``PIECE`` bytes, which bounds what
+    the function holds at a time, but for a single longer text.
+    """
 
     def batches(found):
         for batch in found:
-            if batch.num_rows:
-                yield function(batch)
+            for piece in pieces(batch):
+                yield function(piece)
 
     return df.mapInArrow(batches, schema)
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+    number = np.cumsum(sizes) // PIECE
+    starts = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(number) else []
+    for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(start, end - start)
