@@ -6,7 +6,7 @@ taken, put back in the order in which they stand in the text, and hashed as a tu
 Two texts share a tuple if they share the items *and* their order, so likeness falls
 with edit distance, not only with the overlap of sets (Marcais et al., 2019).
 
-Only items whose hash ends in as many zero bits as the text is long compete, 64 to 128
+Only items whose hash ends in as many zero bits as the text is long compete, 32 to 64
 of them however long it is; a text that repeats itself so that fewer than 16 would
 remain enters all of its items. All of it is built-in expressions over arrays of longs.
 """
@@ -21,6 +21,7 @@ from .frames import numbered
 
 SHINGLE = 6
 SKETCHES = 32
+COMPETING = 32
 _INDEX = (1 << 24) - 1
 _NO_ID = -(1 << 63)
 
@@ -36,21 +37,27 @@ def kmer_hashes(text: Column) -> Column:
     )
 
 
-def _competing(hashes: Column) -> Column:
-    """The items that can be chosen: by their low bits, fewer of them until 16 remain."""
-    level = F.greatest(F.floor(F.log2(F.greatest(F.size(hashes), F.lit(1)) / 64)), F.lit(0))
+def _with_competing(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    """The items that can be chosen: by their low bits, fewer of them until 16 remain.
+
+    A column that a lambda reads is made a step earlier and read twice, else Spark
+    puts its expression into the lambda and computes it for every element.
+    """
+    level = F.greatest(F.floor(F.log2(F.greatest(F.size(hashes), F.lit(1)) / COMPETING)), F.lit(0)).cast("int")
+    masks = F.array(*[F.lit((1 << b) - 1) for b in range(26)])
+    df = df.withColumn("_mask", F.element_at(masks, F.least(level, F.lit(25)) + 1))
+    df = df.withColumn("_some", F.filter(hashes, lambda h: h.bitwiseAND(F.col("_mask")) == 0))
 
     def passing(fewer: int) -> Column:
-        bits = F.greatest(level - fewer, F.lit(0)).cast("int")
-        masks = F.array(*[F.lit((1 << b) - 1) for b in range(26)])
-        mask = F.element_at(masks, F.least(bits, F.lit(25)) + 1)
-        return F.filter(hashes, lambda h: h.bitwiseAND(mask) == 0)
+        return F.filter(hashes, lambda h: h.bitwiseAND(F.shiftright("_mask", fewer)) == 0)
 
-    chosen = hashes
-    for fewer in (12, 10, 8, 6, 4, 2, 0):
+    chosen = F.col(hashes)
+    for fewer in (12, 10, 8, 6, 4, 2):
         some = passing(fewer)
         chosen = F.when(F.size(some) >= 16, some).otherwise(chosen)
-    return chosen
+    return df.withColumn(name, F.when(F.size("_some") >= 16, F.col("_some")).otherwise(chosen)).drop(
+        "_mask", "_some"
+    )
 
 
 def _items(hashes: Column, ordered: Column) -> Column:
@@ -77,7 +84,7 @@ def _items(hashes: Column, ordered: Column) -> Column:
     runs = F.transform(
         F.array_sort(placed), lambda x, k: item(x["i"], x["h"], k + 2 - F.array_position(ordered, x["h"]))
     )
-    different = F.size(F.array_distinct(hashes))
+    different = F.size(F.array_distinct(ordered))
     back = F.transform(
         F.array_sort(F.when(different * 32 < F.size(hashes), each).otherwise(runs)), lambda x: x["h"]
     )
@@ -105,7 +112,7 @@ def _sketch(items: Column) -> Column:
 def with_sketch(df: DataFrame, hashes: str, name: str) -> DataFrame:
     """``df`` with the sketch of a column of k-mer hashes; each step is computed once."""
     return (
-        df.withColumn(name, _competing(F.col(hashes)))
+        _with_competing(df, hashes, name)
         .withColumn("_ordered", F.sort_array(name))
         .withColumn(name, _items(F.col(name), F.col("_ordered")))
         .withColumn(name, _sketch(F.col(name)))

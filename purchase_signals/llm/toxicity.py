@@ -130,12 +130,14 @@ def train(
     max_train: int = 8_000,
     max_features: int = 8_192,
     min_documents: int = 5,
-    rounds: int = 60,
+    evidence: float = 4.0,
+    rounds: int = 120,
     penalty: float = 1e-5,
 ) -> Model:
     """Fit on ``docs (doc_id, text)`` with ``labels (doc_id, label)``.
 
-    Only labels of 0 and 1 count. Without labelled rows of both classes the model
+    Features whose log ratio is less than ``evidence`` standard errors from 0 are left
+    out. Only labels of 0 and 1 count. Without labelled rows of both classes the model
     knows the share of ones (a half where there are none) and nothing else.
     """
     sample = (
@@ -177,7 +179,9 @@ def train(
         .groupBy("feature")
         .agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
         .where(F.col("ones") + F.col("zeros") >= min_documents)
-        .orderBy((F.abs(ratio) * F.sqrt(F.col("ones") + F.col("zeros"))).desc(), "feature")
+        .withColumn("evidence", F.abs(ratio) / F.sqrt(1 / (F.col("ones") + 1) + 1 / (F.col("zeros") + 1)))
+        .where(F.col("evidence") >= evidence)
+        .orderBy(F.desc("evidence"), "feature")
         .limit(max_features)
         .collect()
     )
