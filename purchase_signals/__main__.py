@@ -57,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--input", required=True, help="JSON files")
     step.add_argument("--output", required=True, help="table to append to")
     step.add_argument("--lines", action="store_true", help="one object per line")
-    step.add_argument("--rejected", help="with --lines: where bad lines go")
+    step.add_argument("--rejected", help="with --lines: where bad lines go (OUTPUT_rejected)")
 
     step = steps.add_parser("score", parents=[scoring])
     step.add_argument("--input", required=True, help="Parquet reviews")
@@ -86,8 +86,9 @@ def main(argv=None) -> dict:
         result = {"sample": path}
     elif args.step == "load":
         result = {"inserted": load_json(spark, args.input, args.output, lines=args.lines)}
-        if args.lines and args.rejected:
-            result["rejected"] = rejected_lines(spark, args.input, args.rejected)
+        if args.lines:
+            rejected = args.rejected or args.output.rstrip("/") + "_rejected"
+            result["rejected"] = rejected_lines(spark, args.input, rejected)
     elif args.step == "score":
         path = score_run(spark, args.input, args.output, _scorer(args), args.partitions)
         result = {"scored": path}

@@ -15,7 +15,7 @@ from ..schema import (
     POSITIVE_SCORE,
     SENTIMENT_TYPE,
 )
-from .text import MAX_CHARS, model_input, present
+from .text import model_input, present
 
 # A small English word list so that the default scorer works out of the box. It
 # stands in for a trained model and does not claim that model's quality.
@@ -99,7 +99,7 @@ def lexicon_scorer(
     text: Column,
     positive: Iterable[str] = DEFAULT_POSITIVE,
     negative: Iterable[str] = DEFAULT_NEGATIVE,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
     """Score a text by the share of positive among all listed words.
 
@@ -120,12 +120,18 @@ def lexicon_scorer(
 def parse_score_response(response: Column) -> Column:
     """Read the JSON reply of a scoring service.
 
-    A reply is a non-empty list whose first item is an object. A missing label
-    means NEUTRAL, a missing score 0.5. Anything else is an ERROR with zeros.
+    A reply is a non-empty list whose first item is an object; other items may be
+    anything. A missing or null label means NEUTRAL, a missing score 0.5. All else, such as
+    text after the list, is an ERROR with zeros.
     """
-    # An object in place of the list would be read as a list of one.
+    # An object in place of the list would be read as a list of one. Parsing ignores
+    # what follows a value; a closing null brings it to light.
+    strict = {"allowSingleQuotes": "false"}
     a_list = F.when(F.startswith(F.ltrim(response), F.lit("[")), response)
-    items = F.from_json(a_list, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    whole = F.from_json(F.concat(F.lit("["), a_list, F.lit(",null]")), "array<array<string>>", strict)
+    first = F.when(F.array_size(whole) == 2, F.get(F.get(whole, F.lit(0)), F.lit(0)))
+    first = F.when(F.startswith(F.ltrim(first), F.lit("{")), first)
+    items = F.from_json(F.concat(F.lit("["), first, F.lit("]")), "array<map<string,string>>", strict)
 
     def read(first):
         by_default = F.when(~F.map_contains_key(first, "score"), F.lit("0.5"))

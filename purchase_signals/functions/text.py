@@ -31,12 +31,14 @@ def truncate_text(text: Column, n: int = MAX_CHARS) -> Column:
     return F.substring(text, 1, n)
 
 
-def model_input(text: Column, n: int = MAX_CHARS) -> Column:
-    """The first ``n`` characters of the cleaned text.
+def model_input(text: Column, n: int | None = None) -> Column:
+    """The cleaned text, whole or its first ``n`` characters for a model with a limit.
 
     Cleaning never shortens a text, so these come from the first ``n`` raw
     characters. Cutting first gives the same value without copying long texts.
     """
+    if n is None:
+        return clean_text(text)
     return truncate_text(clean_text(truncate_text(text, n)), n)
 
 

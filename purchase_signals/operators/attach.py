@@ -76,15 +76,21 @@ def review_features(df: DataFrame, aggs: DataFrame, **join_options) -> DataFrame
     return attach_by_key(df, aggs, **join_options)
 
 
-def leave_one_out(df: DataFrame, on_unscored: str = "zero") -> DataFrame:
+def leave_one_out(df: DataFrame, on_unscored: str = "zero", aggregated=None) -> DataFrame:
     """Turn attached aggregates into those of the game's other reviews.
 
-    The averages of a game without other reviews are 0. Needs the columns of
+    ``aggregated``, a condition, tells which rows went into the aggregates (default: all);
+    only those are taken off, new ones have all of their game's reviews as others. A game
+    without aggregates counts 0. The averages of a game without other reviews are 0. Needs the columns of
     ``game_aggregates(with_sums=True)``, made with the same ``on_unscored``.
     """
-    own = F.col("scored") if on_unscored == "exclude" else F.lit(True)
-    up, down = vote_flags(F.col(VOTE))
-    others = F.col("scored_reviews") - F.when(own, 1).otherwise(0)
+    inside = F.col("total_reviews").isNotNull() & (F.lit(True) if aggregated is None else aggregated)
+    own = inside & (F.col("scored") if on_unscored == "exclude" else F.lit(True))
+    up, down = (F.when(inside, flag).otherwise(0) for flag in vote_flags(F.col(VOTE)))
+    others = F.coalesce("scored_reviews", F.lit(0)) - F.when(own, 1).otherwise(0)
+
+    def count(name):
+        return F.coalesce(name, F.lit(0).cast("long"))
 
     def average(score):
         value = F.coalesce(F.nanvl(F.col(score).cast("double"), F.lit(0.0)), F.lit(0.0))
@@ -96,15 +102,15 @@ def leave_one_out(df: DataFrame, on_unscored: str = "zero") -> DataFrame:
         {
             "avg_positive_score": average(POSITIVE_SCORE),
             "avg_negative_score": average(NEGATIVE_SCORE),
-            "total_reviews": F.col("total_reviews") - 1,
-            "total_positive_reviews": F.col("total_positive_reviews") - up,
-            "total_negative_reviews": F.col("total_negative_reviews") - down,
+            "total_reviews": count("total_reviews") - inside.cast("int"),
+            "total_positive_reviews": count("total_positive_reviews") - up,
+            "total_negative_reviews": count("total_negative_reviews") - down,
         }
     ).drop(*SUM_COLUMNS)
 
 
 def review_features_loo(
-    df: DataFrame, aggs: DataFrame, on_unscored: str = "zero", **join_options
+    df: DataFrame, aggs: DataFrame, on_unscored: str = "zero", aggregated=None, **join_options
 ) -> DataFrame:
     """Each review with the aggregates of its game's other reviews.
 
@@ -114,4 +120,4 @@ def review_features_loo(
     missing = [c for c in [*AGGREGATE_COLUMNS, *SUM_COLUMNS] if c not in aggs.columns]
     if missing:
         raise ValueError(f"aggregates lack {missing}")
-    return leave_one_out(attach_by_key(df, aggs, **join_options), on_unscored)
+    return leave_one_out(attach_by_key(df, aggs, **join_options), on_unscored, aggregated)

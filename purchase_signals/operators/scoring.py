@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sentiment import fill_missing, lexicon_scorer
-from ..functions.text import MAX_CHARS, model_input, present
+from ..functions.text import model_input, present
 from ..schema import SENTIMENT, SENTIMENT_TYPE, TEXT
 
 Scorer = Callable[[Column], Column]
@@ -37,14 +37,16 @@ def score_reviews_batch(
     make_client: Callable[[], Client],
     text_col: str = TEXT,
     partitions: int | None = None,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Add the sentiment struct with a model of the caller's own.
 
     ``make_client`` runs once per task and its client gets a list of cleaned texts
-    per Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows at most).
-    Only those texts go to Python; the other columns stay in the JVM. When a batch
-    fails, its texts are tried one by one, and those that fail again become ERROR.
+    per Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows at most),
+    whole or their first ``max_chars``. Only those texts go to Python; the other columns
+    stay in the JVM. When a batch fails it is halved until what fails is a single text,
+    which becomes ERROR, as does a reply whose label is not text. A client that cannot be
+    made is tried once more; then all rows of the task are ERROR.
 
     Write the result before using it more than once: each use calls the model.
     """
@@ -54,37 +56,40 @@ def score_reviews_batch(
         import numpy as np
         import pandas as pd
 
-        client = None
+        client, tries = None, 0
 
         def ask(texts):
-            nonlocal client
+            nonlocal client, tries
             if client is None:
+                if tries == 2:
+                    raise RuntimeError("the client cannot be made")
+                tries += 1
                 client = make_client()
             replies = list(client(texts))
             if len(replies) != len(texts):
                 raise ValueError("one reply per text expected")
             return replies
 
-        def one_by_one(texts):
-            for text in texts:
-                try:
-                    yield ask([text])[0]
-                except Exception:
-                    yield None
+        def by_halves(texts):
+            try:
+                return ask(texts)
+            except Exception:
+                if len(texts) == 1 or client is None and tries == 2:
+                    return [None] * len(texts)
+            middle = len(texts) // 2
+            return by_halves(texts[:middle]) + by_halves(texts[middle:])
 
         def read(reply):
             try:
-                return reply.get("label", "NEUTRAL"), float(reply.get("score", 0.5))
+                label, score = reply.get("label", "NEUTRAL"), float(reply.get("score", 0.5))
+                return (label, score) if isinstance(label, str) else ("ERROR", None)
             except (AttributeError, TypeError, ValueError):
                 return "ERROR", None
 
         for batch in batches:
             present = (batch.notna() & (batch != "")).to_numpy(dtype=bool)
             texts = batch[present].tolist()
-            try:
-                replies = ask(texts) if texts else []
-            except Exception:
-                replies = list(one_by_one(texts))
+            replies = by_halves(texts) if texts else []
             answers = [read(reply) for reply in replies]
             label = np.full(len(batch), "NEUTRAL", dtype=object)
             label[present] = [a[0] for a in answers]

@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_json_line
 from ..operators.quality import first_valid_rows, record_count
 from ..schema import REVIEW_SCHEMA
 from ..sinks.parquet import append_load, write_sample
+from ..shared import shared_path
 from ..sources.json_text import parse_json_lines, read_json_document, read_json_lines
 
 LINE = "_line_number"
@@ -21,6 +23,15 @@ def lines_in_file_order(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).select("value", place.alias(LINE))
 
 
+def inferred_schema(spark: SparkSession, path):
+    """The schema of all JSON lines below ``path`` that parse, every field of every document."""
+    line = clean_json_line(F.col("value")).alias("value")
+    cleaned = spark.read.text(path).select(line).where(~F.col("value").isin("", "[", "]"))
+    written = shared_path(spark, "lines")
+    cleaned.write.text(written)
+    return spark.read.option("mode", "DROPMALFORMED").json(written).schema
+
+
 def sample_json(
     spark: SparkSession,
     path,
@@ -51,11 +62,11 @@ def load_json(
     """Append the documents of JSON files to ``target``; return how many went in.
 
     Without ``lines`` each file is one strict JSON value, read by one task. With it,
-    files are split among tasks, and lines that do not parse are left out; see
-    ``parse_json_lines`` for keeping those.
+    files are split among tasks, and lines that do not parse are left out; write
+    those with ``rejected_lines``. Without ``schema`` all fields of all documents are kept.
     """
     if lines:
-        rows, _ = read_json_lines(spark, path, schema or REVIEW_SCHEMA)
+        rows, _ = read_json_lines(spark, path, schema or inferred_schema(spark, path))
     else:
         rows = read_json_document(spark, path, schema)
     return append_load(rows, target, fmt, options)

@@ -26,8 +26,8 @@ FACT = f"""fact AS (
 
 SCORED = f"""{REVIEWS},
 tokens AS (
-  SELECT *, string_split_regex(lower(substring(replace(replace(coalesce(review, ''),
-    '"', '\\"'), chr(10), ' '), 1, 500)), '[^a-z]+') AS tk FROM reviews),
+  SELECT *, string_split_regex(lower(replace(replace(coalesce(review, ''),
+    '"', '\\"'), chr(10), ' ')), '[^a-z]+') AS tk FROM reviews),
 counted AS (
   SELECT * EXCLUDE (tk),
     len(list_filter(tk, lambda z: z IN ({_words(TEST_POSITIVE)}))) AS p,

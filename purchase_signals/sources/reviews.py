@@ -31,10 +31,13 @@ def conform(df: DataFrame, schema=REVIEW_SCHEMA) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path, schema=None) -> DataFrame:
-    """Read review Parquet. With ``schema`` only those columns are scanned."""
+    """Read review Parquet. With ``schema`` only those columns are scanned.
+
+    Without it a column that only some files have is there, null for the others.
+    """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    return conform(spark.read.parquet(path))
+    return conform(spark.read.option("mergeSchema", True).parquet(path))
 
 
 def _finished_runs(spark: SparkSession, root: str):
@@ -63,12 +66,15 @@ def finished_runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 
 
 def read_all_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Every finished run below ``root``, told apart by the ``run_ts`` column."""
+    """Every finished run below ``root``, told apart by the ``run_ts`` column.
+
+    A column that only some runs have is null in the others.
+    """
     paths = [path for _, path in finished_runs(spark, root)]
     if not paths:
         raise FileNotFoundError(f"no finished run under {root}")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{8}_\d{6})/[^/]*$", 1)
-    frame = spark.read.parquet(*paths)
+    frame = spark.read.option("mergeSchema", True).parquet(*paths)
     return frame.select("*", folder.alias("run_ts"))
 
 

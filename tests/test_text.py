@@ -46,7 +46,9 @@ def test_model_input_equals_cleaning_the_whole_text(spark):
     values += ['"' * 500, '"' * 501, "x" * 499 + '"', "x" * 500 + '"', "x" * 498 + '""', None]
     df = texts(spark, values)
     t = F.col("t")
-    rows = df.select(model_input(t).alias("a"), truncate_text(clean_text(t)).alias("b"))
+    rows = df.select(model_input(t, 500).alias("a"), truncate_text(clean_text(t)).alias("b"))
+    whole = df.select(model_input(t).alias("a"), clean_text(t).alias("b"))
+    assert whole.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
     assert rows.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
 
 
