@@ -6,10 +6,15 @@ order of all bins ("optimal" densification), so texts of any length give full
 signatures whose bins agree with the probability of the sets' similarity. Bands
 of bins are bucket keys. In a bucket one text is the hub, and only edges from it
 to the others are candidates: a star instead of all pairs. Candidates are confirmed
-on the full sets. Texts in buckets that are not one component by then meet again in
-narrower buckets, made of two bands each. Those get further hubs, until each text was
-held against every other of another component in its bucket that the distances to
-the first hub do not rule out, so the stars lose nothing that all pairs would find.
+on the full sets.
+
+What a star can miss are links between two texts of which at least one is not linked
+to their common hub. Such texts differ from the hub in some shingles, and if they are
+a link then largely in the same ones. So texts of a bucket that is not one component
+by then are indexed by their differences from its hub, rarest first, and only texts
+that share one of those early enough for a link are held against each other. This is
+exact: stars and differences together find each link that all pairs of all buckets
+would, without ever pairing a bucket's texts.
 
 With 46 bands of 6 rows a pair of similarity 0.8 misses all buckets with
 probability (1 - 0.8**6)**46, below one in a million.
@@ -21,7 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import materialise
@@ -29,7 +34,6 @@ from . import hashing
 from .frames import map_arrow
 from .graph import connected_components
 
-_NEIGHBOURS = 8
 _SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
@@ -145,53 +149,69 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "shared", union.alias("either"))
 
 
-def _with_bounds(waiting: DataFrame, central: DataFrame, measured: DataFrame) -> DataFrame:
-    """``waiting`` with bounds of each text's Jaccard distance to its bucket's first hub.
+def _differences(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each text of ``spread (hub, doc_id)`` by the shingles in which it differs from its hub.
+
+    With D the shingles that only one of a text and the hub has, two texts differ in
+    ``|D| + |D'| - 2 |D & D'|`` shingles. They are a link exactly if ``100 + percent`` times
+    that is at most ``100 - percent`` times the sum of their sizes, so exactly if
+    ``2 (100 + percent) |D & D'|`` reaches the sum of their ``need``, which is
+    ``(100 + percent) |D| - (100 - percent) size``. A text is no link of its hub exactly if its
+    need exceeds ``(100 - percent) hub size``; every need exceeds minus that, so a link of
+    which one text is no link of the hub has some difference in common.
 
-    The distance is a metric: texts whose distances to one hub differ by more than that
-    of a link are no link. Pairs that were not measured differ in size by too much,
-    which bounds their distance from below.
+    Returns ``hub, doc_id, n, need, outside, item, left``: ``left`` is how many differences
+    from ``item`` on the text has when they are sorted by their number in all texts of the
+    hub. Those of which too few are left, or that no other text has, are not returned.
     """
-    hubs = central.select("bucket", "a", "_na")
-    apart = measured.groupBy(F.col("a").alias("_low"), F.col("b").alias("_high")).agg(
-        F.min(1 - F.col("shared") / F.col("either")).alias("_distance")
+    own = sets.select("doc_id", F.col("shingles").alias("_own"))
+    of_hub = sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("_hub"))
+    apart = F.concat(F.array_except("_own", "_hub"), F.array_except("_hub", "_own"))
+    level = (100 - percent) * F.col("n_hub")
+    need = (100 + percent) * F.size("apart") - (100 - percent) * F.col("n")
+    spread = (
+        spread.join(own, "doc_id")
+        .join(of_hub, "hub")
+        .select("hub", "doc_id", F.size("_own").alias("n"), F.size("_hub").alias("n_hub"), apart.alias("apart"))
+        .select("hub", "doc_id", "n", need.alias("need"), (need > level).alias("outside"), level.alias("level"), "apart")
     )
-    paired = waiting.join(hubs, "bucket").withColumns(
-        {"_low": F.least("a", "doc_id"), "_high": F.greatest("a", "doc_id")}
+    each = materialise(spread.withColumn("item", F.explode("apart")).drop("apart"), "differences")
+    counts = each.groupBy("hub", "item").agg(F.count(F.lit(1)).alias("texts"))
+    ordered = (
+        each.join(counts, ["hub", "item"])
+        .groupBy("hub", "doc_id", "n", "need", "outside", "level")
+        .agg(F.array_sort(F.collect_list(F.struct("texts", "item"))).alias("items"))
     )
-    ratio = F.least("n", "_na") / F.greatest("n", "_na")
-    same = F.col("a") == F.col("doc_id")
+    # A text outside may be held against all others, one inside only against those outside.
+    least = F.col("need") + F.when(F.col("outside"), -F.col("level")).otherwise(F.col("level"))
     return (
-        paired.join(apart, ["_low", "_high"], "left")
-        .withColumn("near", F.when(same, 0.0).otherwise(F.coalesce("_distance", 1 - ratio)))
-        .withColumn("far", F.when(same, 0.0).otherwise(F.coalesce("_distance", F.lit(1.0))))
-        .select(*waiting.columns, "near", "far")
+        ordered.select(
+            "hub", "doc_id", "n", "need", "outside", F.size("items").alias("size"), least.alias("least"),
+            F.posexplode("items").alias("place", "found"),
+        )
+        .withColumn("left", F.col("size") - F.col("place"))
+        .where((F.col("found.texts") > 1) & (2 * (100 + percent) * F.col("left") >= F.col("least")))
+        .select("hub", "doc_id", "n", "need", "outside", "found.item", "left")
     )
 
 
-def _narrowed(waiting: DataFrame) -> DataFrame:
-    """``waiting`` by pairs of buckets whose bands stand at most ``_NEIGHBOURS`` apart.
-
-    Two texts right at a similarity of 0.8 share 12 of 46 buckets on average, so that
-    they almost surely share such a pair; texts that are less alike rarely do.
-    """
-    per = waiting.groupBy("doc_id", "n", "met").agg(
-        F.collect_list(F.struct("band", "bucket", "near", "far")).alias("own")
+def _beside_hubs(indexed: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of texts of different components that ``_differences`` does not rule out."""
+    rows = indexed.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "component_id", F.coalesce("component_id", "doc_id")
     )
-    pairs = F.transform(
-        "own",
-        lambda x: F.transform(
-            F.filter("own", lambda y: (y["band"] > x["band"]) & (y["band"] - x["band"] <= _NEIGHBOURS)),
-            lambda y: F.struct(
-                F.xxhash64(x["bucket"], y["bucket"]).alias("bucket"), x["near"].alias("near"), x["far"].alias("far")
-            ),
-        ),
-    )
-    rows = per.select("doc_id", "n", "met", F.explode(F.flatten(pairs)).alias("pair")).select(
-        "doc_id", "n", "met", "pair.*"
+    rows = materialise(rows, "differences")
+    # Each pair once: of two texts outside, the one of the smaller id comes first.
+    other = rows.select("hub", "item", *[F.col(c).alias(f"_{c}") for c in rows.columns if c not in ("hub", "item")])
+    return (
+        rows.where("outside")
+        .join(other, ["hub", "item"])
+        .where("component_id <> _component_id and (not _outside or doc_id < _doc_id)")
+        .where(100 * F.least("n", "_n") >= percent * F.greatest("n", "_n"))
+        .where(2 * (100 + percent) * F.least("left", "_left") >= F.col("need") + F.col("_need"))
+        .select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"))
+        .distinct()
     )
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
-    return rows.join(shared, "bucket")
 
 
 def _linked_classes(
@@ -199,7 +219,7 @@ def _linked_classes(
 ) -> DataFrame:
     """Components of the class representatives: ``(id, component_id)``, linked ones only."""
     rows = classes.select(
-        "doc_id", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "bucket")
+        "doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
     buckets = (
         rows.groupBy("bucket")
@@ -213,68 +233,48 @@ def _linked_classes(
     met = waiting.groupBy("doc_id").agg(F.sum("size").alias("met"))
     waiting = materialise(waiting.drop("size").join(met, "doc_id"), "buckets")
     sets = materialise(_sets(docs, met.select("doc_id"), width), "shingles")
-    links = tested = None
-    components = waiting.where("false").select(
-        F.col("doc_id").alias("id"), F.col("doc_id").alias("component_id")
-    )
-    hubs, reach = 1, 1 - percent / 100 + 1e-9
-    while True:
-        # One hub per bucket at first, four times as many in each later round.
-        now = waiting.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "component_id", F.coalesce("component_id", "doc_id")
-        )
-        if hubs == 1:
-            central = now.groupBy("bucket").agg(
-                F.max(F.struct("met", "doc_id", "n", "component_id")).alias("hub")
-            )
-            central = central.select("bucket", "hub.*")
-        else:
-            order = Window.partitionBy("bucket").orderBy(F.desc("met"), F.desc("doc_id"))
-            central = now.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= hubs)
-        central = central.select(
-            "bucket",
-            F.col("doc_id").alias("a"),
-            F.col("n").alias("_na"),
-            F.col("component_id").alias("_ca"),
-            *([] if hubs == 1 else [F.col("near").alias("_near"), F.col("far").alias("_far")]),
-        )
-        pairs = (
-            now.join(central, "bucket")
-            .where("a <> doc_id and _ca <> component_id")
-            .where(100 * F.least("n", "_na") >= percent * F.greatest("n", "_na"))
-            .where(F.lit(True) if hubs == 1 else (F.col("near") - F.col("_far") <= reach) & (F.col("_near") - F.col("far") <= reach))
-            .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        measured = materialise(_measured(pairs, sets), "measured")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        measured = _measured(materialise(pairs, "pairs"), sets)
         found = measured.where(100 * F.col("shared") >= percent * F.col("either")).select("a", "b")
-        if hubs == 1:
-            waiting = _with_bounds(waiting, central, measured)
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        components = materialise(connected_components(links), "components")
-        now = waiting.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "component_id", F.coalesce("component_id", "doc_id")
-        )
-        # A bucket is done when it is one component; its hubs met everyone and go.
-        apart = now.groupBy("bucket").agg(
-            F.min("component_id").alias("low"), F.max("component_id").alias("high")
-        )
-        hubs_gone = central.select("bucket", F.col("a").alias("doc_id"))
-        waiting = materialise(
-            waiting.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi").join(
-                hubs_gone, ["bucket", "doc_id"], "left_anti"
-            ),
-            "buckets",
-        )
-        if hubs == 1:
-            waiting = materialise(_narrowed(waiting), "buckets")
-        if waiting.isEmpty():
-            return components
-        hubs *= 4
+        return materialise(found, "links")
+
+    central = waiting.groupBy("bucket").agg(F.max(F.struct("met", "doc_id", "n")).alias("hub"))
+    central = central.select("bucket", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("n_hub"))
+    links = confirmed(
+        waiting.join(central, "bucket")
+        .where("hub <> doc_id")
+        .where(100 * F.least("n", "n_hub") >= percent * F.greatest("n", "n_hub"))
+        .select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
+        .distinct()
+    )
+    components = materialise(connected_components(links), "components")
+    now = waiting.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "component_id", F.coalesce("component_id", "doc_id")
+    )
+    # A bucket that is one component is done, and so are the hubs, which met everyone.
+    open_buckets = (
+        now.groupBy("bucket")
+        .agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+        .where("low <> high")
+        .select("bucket")
+    )
+    spread = (
+        waiting.select("bucket", "doc_id")
+        .join(central.join(open_buckets, "bucket").select("bucket", "hub"), "bucket")
+        .where("hub <> doc_id")
+        .select("hub", "doc_id")
+        .distinct()
+    )
+    spread = materialise(spread, "spread")
+    several = spread.groupBy("hub").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hub")
+    spread = spread.join(several, "hub", "left_semi")
+    if spread.isEmpty():
+        return components
+    more = confirmed(_beside_hubs(_differences(spread, sets, percent), components, percent))
+    if more.isEmpty():
+        return components
+    return materialise(connected_components(links.union(more)), "components")
 
 
 def near_duplicates(

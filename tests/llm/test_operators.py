@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from purchase_signals.llm import bpe, packing
+from purchase_signals.llm import bpe, minhash_dedup, packing
 from purchase_signals.llm.embedding_dedup import near_vectors
 from purchase_signals.llm.html_text import extract, main_text
 from purchase_signals.llm.minhash_dedup import near_duplicates
@@ -88,6 +88,33 @@ def test_near_duplicates_equal_brute_force(spark):
             for _ in range(random.integers(0, 3)):
                 edited[random.integers(len(edited))] = str(random.choice(words))
             texts.append(" ".join(edited))
+    _same_as_brute_force(spark, texts)
+
+
+def test_links_beside_the_hub_equal_brute_force(spark, monkeypatch):
+    """Versions of one text that are mostly no link of it, some of them links of each other."""
+    random = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(2000)]
+    base = list(random.choice(words, 140))
+
+    def edited(text, edits):
+        text = list(text)
+        for place in random.choice(len(text), edits, replace=False):
+            text[place] = str(random.choice(words))
+        return text
+
+    texts = [" ".join(base)]
+    for _ in range(30):
+        version = edited(base, random.integers(3, 9))
+        texts += [" ".join(edited(version, random.integers(0, 4))) for _ in range(random.integers(1, 5))]
+    held, original = [], minhash_dedup._beside_hubs
+    monkeypatch.setattr(minhash_dedup, "_beside_hubs", lambda *a: held.append(original(*a)) or held[-1])
+    _same_as_brute_force(spark, texts)
+    # Far fewer than the pairs of all versions.
+    assert 0 < held[0].count() < len(texts) ** 2 / 20
+
+
+def _same_as_brute_force(spark, texts):
     rows = list(enumerate(texts))
 
     def shingles(text):
