@@ -447,12 +447,12 @@ def q_training_frame(spark, sf_dir):
     )
 
 
-def _trained(spark, sf_dir, rounds=3):
+def _trained(spark, sf_dir):
     rows, model = _fact_model(spark, sf_dir, one_hot=False)
     train, val = split_by_key(rows, "review_id")
     examples = training_frame(train, model, others_only=True, weighted=True)
     validation = training_frame(val, model, keep=["review_id"], others_only=True)
-    return training.train_gbt(examples, rounds), validation
+    return training.train_gbt(examples), validation
 
 
 def q_train_gbt(spark, sf_dir):
@@ -486,9 +486,7 @@ def q_auc_exact(spark, sf_dir):
 def q_end_to_end(spark, sf_dir):
     source = write_parquet(reviews(spark, sf_dir), shared_path(spark, "source"))
     out = shared_path(spark, "job")
-    report = jobs.run(
-        spark, source, out, benchmark_scorer, max_iter=2, key="review_id", one_hot=False
-    )
+    report = jobs.run(spark, source, out, benchmark_scorer, key="review_id", one_hot=False)
     rows = [
         spark.read.parquet(report[part]).groupBy("label").agg(F.count(F.lit(1)).alias("reviews"))
         .select(F.lit(part).alias("part"), "label", "reviews")
