@@ -6,13 +6,17 @@ taken, put back in the order in which they stand in the text, and hashed as a tu
 Two texts share a tuple if they share the items *and* their order, so likeness falls
 with edit distance, not only with the overlap of sets (Marcais et al., 2019).
 
-Only items whose hash ends in as many zero bits as the text is long compete, 32 to 64
-of them however long it is; a text that repeats itself so that fewer than 16 would
-remain enters all of its items. All of it is built-in expressions over arrays of longs.
+All items of a text compete in all orders. Each item has one random hash; the orders
+are those in which the items follow 32 fixed points on the circle of hashes. In each of
+them any two items are equally likely to be the smallest, and a sorted array gives
+them without a pass for each order. Orders of a text of few k-mers often begin alike, so
+its likeness varies more. All of it is built-in expressions over arrays of longs.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +25,11 @@ from .frames import numbered
 
 SHINGLE = 6
 SKETCHES = 32
-COMPETING = 32
-_INDEX = (1 << 24) - 1
+# The low bits of a hash hold the item's place; an array of more strings is too large for Spark.
+_PLACE = (1 << 27) - 1
+_SEEDS = [
+    int.from_bytes(hashlib.sha256(b"order %d" % i).digest()[:8], "big", signed=True) for i in range(SKETCHES)
+]
 _NO_ID = -(1 << 63)
 
 
@@ -37,87 +44,78 @@ def kmer_hashes(text: Column) -> Column:
     )
 
 
-def _with_competing(df: DataFrame, hashes: str, name: str) -> DataFrame:
-    """The items that can be chosen: by their low bits, fewer of them until 16 remain.
+def _items(placed: Column, starts: Column) -> Column:
+    """Hashes of k-mers joined with the number of the occurrence, above the item's place.
 
-    A column that a lambda reads is made a step earlier and read twice, else Spark
-    puts its expression into the lambda and computes it for every element.
+    ``placed`` holds the k-mers' hashes above their places, sorted, so that those of one
+    k-mer stand together in text order; ``starts`` tells where each k-mer's own begin.
     """
-    level = F.greatest(F.floor(F.log2(F.greatest(F.size(hashes), F.lit(1)) / COMPETING)), F.lit(0)).cast("int")
-    masks = F.array(*[F.lit((1 << b) - 1) for b in range(26)])
-    df = df.withColumn("_mask", F.element_at(masks, F.least(level, F.lit(25)) + 1))
-    df = df.withColumn("_some", F.filter(hashes, lambda h: h.bitwiseAND(F.col("_mask")) == 0))
-
-    def passing(fewer: int) -> Column:
-        return F.filter(hashes, lambda h: h.bitwiseAND(F.shiftright("_mask", fewer)) == 0)
-
-    chosen = F.col(hashes)
-    for fewer in (12, 10, 8, 6, 4, 2):
-        some = passing(fewer)
-        chosen = F.when(F.size(some) >= 16, some).otherwise(chosen)
-    return df.withColumn(name, F.when(F.size("_some") >= 16, F.col("_some")).otherwise(chosen)).drop(
-        "_mask", "_some"
-    )
-
 
-def _items(hashes: Column, ordered: Column) -> Column:
-    """Hashes joined with the number of the occurrence, in text order.
+    def at(j: Column) -> Column:
+        return F.coalesce(F.get(placed, j), F.lit(0).cast("long"))
 
-    ``ordered`` holds the hashes sorted. Where many items are few different ones, each of
-    those is numbered by itself; else an item's number follows from where its like begin.
-    """
-    once = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(1)))
-    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-
-    def item(i: Column, h: Column, occurrence: Column) -> Column:
-        return F.struct(i.alias("i"), F.xxhash64(h, occurrence.cast("int")).alias("h"))
-
-    each = F.flatten(
-        F.transform(
-            F.array_distinct(hashes),
-            lambda d: F.transform(
-                F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.get(hashes, i) == d),
-                lambda i, k: item(i, d, k + 1),
-            ),
+    def run(start: Column, k: Column) -> Column:
+        last = F.coalesce(F.get(starts, k + 1), F.size(placed)) - 1
+        return F.transform(
+            F.sequence(start, last),
+            lambda j: F.xxhash64(at(start).bitwiseAND(F.lit(~_PLACE)), j - start)
+            .bitwiseAND(F.lit(~_PLACE))
+            .bitwiseOR(at(j).bitwiseAND(F.lit(_PLACE))),
         )
-    )
-    runs = F.transform(
-        F.array_sort(placed), lambda x, k: item(x["i"], x["h"], k + 2 - F.array_position(ordered, x["h"]))
-    )
-    different = F.size(F.array_distinct(ordered))
-    back = F.transform(
-        F.array_sort(F.when(different * 32 < F.size(hashes), each).otherwise(runs)), lambda x: x["h"]
-    )
-    return F.when(different == F.size(hashes), once).otherwise(back)
+
+    return F.flatten(F.transform(starts, run))
 
 
-def _sketch(items: Column) -> Column:
+def _sketch(circle: Column, firsts: Column) -> Column:
     """One tuple hash for each order; an order's two smallest items, in text order."""
 
-    def tuple_hash(seed: Column) -> Column:
-        # The low bits of a rank hold the item's place.
-        ranked = F.transform(
-            items, lambda h, i: F.xxhash64(h, seed).bitwiseAND(F.lit(~_INDEX)).bitwiseOR(i.cast("long"))
+    def item(j: Column) -> Column:
+        return F.get(circle, j % F.size(circle))
+
+    def tuple_hash(first: Column) -> Column:
+        a, b = item(first), item(first + 1)
+        hash_a, hash_b = a.bitwiseAND(F.lit(~_PLACE)), b.bitwiseAND(F.lit(~_PLACE))
+        in_order = a.bitwiseAND(F.lit(_PLACE)) < b.bitwiseAND(F.lit(_PLACE))
+        return (
+            F.when(F.size(circle) == 1, F.xxhash64(hash_a))
+            .when(in_order, F.xxhash64(hash_a, hash_b))
+            .otherwise(F.xxhash64(hash_b, hash_a))
         )
-        least = F.transform(
-            F.slice(F.sort_array(ranked), 1, 2), lambda r: r.bitwiseAND(F.lit(_INDEX)).cast("int") + 1
-        )
-        return F.xxhash64(F.transform(F.sort_array(least), lambda place: F.element_at(items, place)))
 
-    return F.when(
-        F.size(items) > 0, F.transform(F.sequence(F.lit(1), F.lit(SKETCHES)), tuple_hash)
-    ).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return F.transform(firsts, tuple_hash)
 
 
 def with_sketch(df: DataFrame, hashes: str, name: str) -> DataFrame:
-    """``df`` with the sketch of a column of k-mer hashes; each step is computed once."""
-    return (
-        _with_competing(df, hashes, name)
-        .withColumn("_ordered", F.sort_array(name))
-        .withColumn(name, _items(F.col(name), F.col("_ordered")))
-        .withColumn(name, _sketch(F.col(name)))
-        .drop("_ordered")
-    )
+    """``df`` with the sketch of a column of k-mer hashes; each step is computed once.
+
+    A column that a lambda reads is made a step earlier and read twice, else Spark
+    puts its expression into the lambda and computes it for every element.
+    """
+    above = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")))
+    df = df.withColumn("_placed", F.sort_array(above))
+
+    def begins(j: Column) -> Column:
+        kmer, before = (F.get("_placed", i).bitwiseAND(F.lit(~_PLACE)) for i in (j, j - 1))
+        return ~kmer.eqNullSafe(before)
+
+    places = F.sequence(F.lit(0), F.greatest(F.size("_placed") - 1, F.lit(0)))
+    df = df.withColumn("_starts", F.filter(places, begins))
+    df = df.withColumn("_circle", F.sort_array(_items(F.col("_placed"), F.col("_starts"))))
+
+    def first_after(seed: Column) -> Column:
+        """How many items lie before ``seed``, by halving steps."""
+        return F.aggregate(
+            F.array(*[F.lit(1 << b) for b in reversed(range(_PLACE.bit_length()))]),
+            F.lit(0),
+            lambda n, step: F.when(F.get("_circle", n + step - 1) < seed, n + step).otherwise(n),
+        )
+
+    seeds = F.array(*[F.lit(seed) for seed in _SEEDS])
+    df = df.withColumn("_firsts", F.when(F.size("_circle") > 0, F.transform(seeds, first_after)).otherwise(
+        F.slice(F.array(F.lit(0)), 1, 0)
+    ))
+    df = df.withColumn(name, _sketch(F.col("_circle"), F.col("_firsts")))
+    return df.drop("_placed", "_starts", "_circle", "_firsts")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -201,7 +199,7 @@ def compared_with_edited(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
             ~long_enough | (F.length(F.concat(joint, F.col("head"))) >= SHINGLE),
             kmer_hashes(F.when(long_enough, F.concat(joint, F.col("head"))).otherwise(edited)),
         )
-        .otherwise(F.expr("cast(array() as array<bigint>)"))
+        .otherwise(F.slice(F.array(F.lit(0).cast("long")), 1, 0))
         .alias("tail"),
     ).withColumn("other", F.concat(F.slice("own", F.lit(1), F.col("kept")), F.col("tail")))
     rows = with_sketch(with_sketch(rows, "own", "own"), "other", "other")

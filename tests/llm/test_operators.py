@@ -206,6 +206,24 @@ def test_fingerprints_follow_the_edited_text(spark, docs, odd):
     assert compared_with_edited(odd.where("false")).count() == 0
 
 
+def test_fingerprints_do_not_depend_on_length_steps(spark):
+    """All items compete: near copies stay alike where lengths pass powers of two."""
+    random = np.random.default_rng(7)
+    text = "".join(random.choice(list("abcdefghijklmnop "), 17000))
+    rows = [(n, text[: n + 5]) for n in (2040, 2060, 4090, 4110, 16370, 16400, 9000, 9900)]
+    rows += [(1, text[8500:9500] + text[9500:] + text[:8500]), (2, "ab" * 2000), (3, "ab" * 2020), (4, "abcdef")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.fingerprint for r in fingerprints(table).collect()}
+
+    def alike(a, b):
+        own, other = ([found[i][j : j + 16] for j in range(0, 512, 16)] for i in (a, b))
+        return np.mean([x == y for x, y in zip(own, other, strict=True)])
+
+    assert {len(f) for f in found.values()} == {512}
+    assert all(alike(a, b) >= 0.85 for a, b in ((2040, 2060), (4090, 4110), (16370, 16400), (2, 3)))
+    assert 0.6 <= alike(9000, 9900) < 1 and alike(2040, 9900) < 0.4 and 0.2 < alike(1, 16400) < 0.9
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>T</title></head><body><header>Head</header><nav><a href=x>Home, sweet</a></nav>"
