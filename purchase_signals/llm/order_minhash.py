@@ -30,7 +30,7 @@ _PLACE = (1 << 27) - 1
 _SEEDS = [
     int.from_bytes(hashlib.sha256(b"order %d" % i).digest()[:8], "big", signed=True) for i in range(SKETCHES)
 ]
-_NO_ID = -(1 << 63)
+_PLACED = ["named", "key", "digest"]
 
 
 def kmer_hashes(text: Column) -> Column:
@@ -145,40 +145,52 @@ def compared_with_edited(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
 
     The edited text ends with the beginning of the next document (by ascending id, the first
     after the last) in place of its own last quarter. Returns ``doc_id, n_chars,
-    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. Rows that
-    repeat an id are one document, of the smallest text; rows without one are one, before
-    all others. A null text is an empty one; further columns are passed over.
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, a row for each
+    row of ``docs``. Rows without an id come before all others; rows that repeat an id or
+    have none stand by the digests of their texts, and of equal rows each is followed by
+    the next one. A null text is an empty one; further columns are passed over.
     """
     base = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("key"),
+        F.col(doc_id).isNotNull().alias("named"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")).alias("key"),
+        F.lit("").alias("digest"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.lit(1).cast("long").alias("copies"),
     )
-    narrow = numbered(base.select("key", F.length("text").cast("long").alias("n")), ["key"], "lengths")
-    narrow = materialise(narrow, "places")
-    if not narrow.groupBy("key").count().where("count > 1").isEmpty():
-        base = base.groupBy("key").agg(F.min("text").alias("text"))
-        narrow = numbered(base.select("key", F.length("text").cast("long").alias("n")), ["key"], "lengths")
-        narrow = materialise(narrow, "places")
+
+    def places(base: DataFrame) -> DataFrame:
+        narrow = base.select(*_PLACED, "copies", F.length("text").cast("long").alias("n"))
+        return materialise(numbered(narrow, _PLACED, "lengths"), "places")
+
+    narrow = places(base)
+    repeats = not narrow.groupBy("named", "key").count().where("count > 1").isEmpty()
+    if repeats:
+        # Equal rows stand as one with their number; all others are told apart by the digest.
+        base = base.withColumn("digest", F.sha2("text", 256))
+        base = base.groupBy(*_PLACED).agg(F.first("text").alias("text"), F.sum("copies").alias("copies"))
+        narrow = places(base)
     total = narrow.count()
     if not total:
         total = 1
     before = narrow.select(
-        F.col("key").alias("before"),
+        F.struct(*_PLACED).alias("before"),
         F.floor(F.col("n") / 4).cast("int").alias("cut"),
         ((F.col("position") + 1) % total).alias("position"),
     )
-    after = narrow.select("key", "position").join(before, "position").drop("position")
+    after = narrow.select(*_PLACED, "position").join(before, "position").drop("position")
     # Only the part of the next text that is needed goes to its neighbour; both joins
     # read one shuffle of the texts.
-    heads = base.join(after, "key").select(
-        F.col("before").alias("key"),
-        F.col("key").alias("next"),
-        "cut",
-        F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("head"),
-    )
+    head = F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("head")
+    following = F.struct(*_PLACED).alias("following")
+    heads = base.join(after, _PLACED).select("before.*", following, "cut", head)
+    rows = base.join(heads, _PLACED).withColumn("times", F.lit(1).cast("long"))
+    if repeats:
+        again = base.where("copies > 1").withColumn("cut", F.floor(F.length("text") / 4).cast("int"))
+        again = again.select("*", following, head, (F.col("copies") - 1).alias("times"))
+        rows = rows.unionByName(again)
     edge = SHINGLE - 1
     n = F.length("text")
-    rows = base.join(heads, "key").withColumn("body", n - F.col("cut"))
+    rows = rows.withColumn("body", n - F.col("cut"))
     body = F.substring(F.col("text"), F.lit(1), F.col("body"))
     joint = F.substring(
         F.col("text"),
@@ -188,8 +200,9 @@ def compared_with_edited(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     edited = F.concat(body, F.col("head"))
     long_enough = F.col("body") >= SHINGLE
     rows = rows.select(
-        "key",
-        "next",
+        *_PLACED,
+        "following",
+        "times",
         n.cast("long").alias("n_chars"),
         F.sha2(edited, 256).alias("edited_sha256"),
         kmer_hashes(F.col("text")).alias("own"),
@@ -203,16 +216,22 @@ def compared_with_edited(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
         .alias("tail"),
     ).withColumn("other", F.concat(F.slice("own", F.lit(1), F.col("kept")), F.col("tail")))
     rows = with_sketch(with_sketch(rows, "own", "own"), "other", "other")
-    signed = materialise(
-        rows.select("key", "next", "n_chars", "edited_sha256", "own", "other"), "fingerprints"
-    )
-    neighbours = signed.select(F.col("key").alias("next"), F.col("own").alias("following"))
-    return signed.join(neighbours, "next").select(
-        F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"),
+    signed = materialise(rows.drop("kept", "tail"), "fingerprints")
+    # A place's own fingerprint is in both of its rows if it has two.
+    signatures = signed.select(F.struct(*_PLACED).alias("following"), F.col("own").alias("next"))
+    if repeats:
+        signatures = signatures.dropDuplicates(["following"])
+    compared = signed.join(signatures, "following").select(
+        F.when(F.col("named"), F.col("key")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
         printed(F.col("own")).alias("fingerprint"),
         printed(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("following")).alias("near_next"),
+        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        "times",
     )
+    if repeats:
+        copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+        compared = compared.withColumn("copy", copies).drop("copy")
+    return compared.drop("times")

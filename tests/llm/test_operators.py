@@ -224,6 +224,27 @@ def test_fingerprints_do_not_depend_on_length_steps(spark):
     assert 0.6 <= alike(9000, 9900) < 1 and alike(2040, 9900) < 0.4 and 0.2 < alike(1, 16400) < 0.9
 
 
+def test_fingerprints_keep_rows_that_repeat_or_lack_an_id(spark, odd):
+    texts = [f"text number {i} of those that have no name or share one" for i in range(20)]
+    rows = [(None, t) for t in texts[:12]] + [(5, t) for t in texts[12:]] + [(5, texts[12])] * 3
+    rows += [(None, texts[0]), (0, "of id zero, not without one"), (-(1 << 63), "of the least id"), (9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = compared_with_edited(table).collect()
+    own = lambda rows: sorted((r.doc_id is not None, r.doc_id or 0, r.fingerprint) for r in rows)
+    assert len(found) == len(rows) and own(found) == own(fingerprints(table).collect())
+    # Rows follow by id, null first, then by digest; each edited text is its row's and the next one's.
+    order = [(d, t or "", hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows]
+    order.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    edited = [
+        (d, t[: len(t) - len(t) // 4] + after[: len(t) // 4])
+        for (d, t, _), (_, after, _) in zip(order, order[1:] + order[:1], strict=True)
+    ]
+    expected = [(d is not None, d or 0, hashlib.sha256(t.encode()).hexdigest()) for d, t in edited]
+    assert sorted(expected) == sorted((r.doc_id is not None, r.doc_id or 0, r.edited_sha256) for r in found)
+    strange = compared_with_edited(odd).collect()
+    assert len(strange) == len(ODD) and sum(r.doc_id == 3 for r in strange) == 2
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>T</title></head><body><header>Head</header><nav><a href=x>Home, sweet</a></nav>"
