@@ -31,11 +31,19 @@ MORE_KINDS = [
     ("github", r"\bgh[pousr]_[A-Za-z0-9]+", 0, 40),
     ("jwt", r"\beyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 24),
     ("slack", r"\bxox[abprs]-[A-Za-z0-9-]+", 0, 16),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    # To its END line, or to the next key or the end of the text if there is none.
+    (
+        "private_key",
+        r"(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----(.*?)"
+        r"(?:-----END [A-Z ]*PRIVATE KEY-----|(?=-----BEGIN [A-Z ]*PRIVATE KEY-----)|\z)",
+        1,
+        0,
+    ),
 ]
 # Patterns with the least length built in where that finds the very same spans.
 _QUICK = {"access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 _PLACEHOLDER = "(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0123456789|abcdefgh"
+_PLACEHOLDER_WORD = f"(?<![A-Za-z0-9+/])(?:{_PLACEHOLDER})(?![A-Za-z0-9+/])"
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -76,12 +84,20 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     return F.when(F.regexp_like(text, pattern), placed).otherwise(empty)
 
 
-def _looks_live(value: Column) -> Column:
-    """Not a placeholder, of at least eight different characters, some of them digits."""
+def _looks_live(kind: Column, value: Column) -> Column:
+    """Not a placeholder, of at least eight different characters, some of them digits.
+
+    A private key needs no digit. It is long enough to hold a placeholder's letters by
+    chance, so there they count only as a word.
+    """
+    key = kind == "private_key"
+    placeholder = F.when(key, F.regexp_like(value, F.lit(_PLACEHOLDER_WORD))).otherwise(
+        F.regexp_like(value, F.lit(_PLACEHOLDER))
+    )
     return (
-        ~F.regexp_like(value, F.lit(_PLACEHOLDER))
+        ~placeholder
         & (F.size(F.array_distinct(F.split(value, ""))) >= 8)
-        & F.regexp_like(value, F.lit("[0-9]"))
+        & (key | F.regexp_like(value, F.lit("[0-9]")))
     )
 
 
@@ -115,7 +131,7 @@ def candidates(docs: DataFrame, *, owner: Column, repository: Column) -> DataFra
                 s["start"].alias("start"),
                 s["end"].alias("end"),
                 F.sha2(s["value"], 256).alias("hash"),
-                _looks_live(s["value"]).alias("live"),
+                _looks_live(s["kind"], s["value"]).alias("live"),
             ),
         ),
     )
