@@ -143,6 +143,17 @@ def _furniture(tree: _Tree) -> list[bool]:
     return gone
 
 
+def _article(tree: _Tree, best: int, density: list[float]) -> int:
+    """The outermost article around ``best``, else the outermost main, that is not mostly links."""
+    found = {"article": best, "main": best}
+    at = best
+    while at > 0:
+        if tree.tags[at] in found and density[at] <= 0.5:
+            found[tree.tags[at]] = at
+        at = tree.parents[at]
+    return found["article"] if found["article"] != best or tree.tags[best] == "article" else found["main"]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page, blocks joined by single spaces; empty if there is none."""
     tree = _Tree()
@@ -183,14 +194,19 @@ def main_text(page: str | None) -> str:
         return ""
     best = max(candidates, key=lambda i: (score[i], -i))
     kept = [False] * n
-    kept[best] = True
+    top = _article(tree, best, density)
+    kept[top] = True
+    around, at = {best}, best  # and what stands between it and the article
+    while at != top:
+        at = parents[at]
+        around.add(at)
     for i in range(1, n):
-        if parents[i] == parents[best] and not gone[i]:
+        if parents[i] == parents[top] and not gone[i]:
             reads = tags[i] == "p" and density[i] < 0.25 and length[i] > 80
             kept[i] = kept[i] or score[i] >= max(10, 0.2 * score[best]) or reads
         # Lists of links inside the container are menus.
         menu = tags[i] in ("ul", "ol", "div", "section") and links[i] > 0 and density[i] > 0.5
-        gone[i] = gone[i] or gone[parents[i]] or menu and i != best
+        gone[i] = gone[i] or gone[parents[i]] or menu and i not in around
         kept[i] = (kept[i] or kept[parents[i]]) and not gone[i]
     parts = []
     for i, text in tree.texts:

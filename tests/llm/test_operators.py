@@ -260,6 +260,28 @@ def test_main_text(spark):
     assert extract(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_main_text_keeps_all_of_an_article_in_sections(tag):
+    long = "".join(f"<p>Paragraph {i}, with commas, of some, length, {'and words ' * 12}</p>" for i in range(30))
+    inside = (
+        f"<h1>Name</h1><section><p>Short.</p></section><div><section>{long}</section></div><ul><li>item</ul>"
+        "<blockquote>quoted</blockquote><section><h2>Last</h2><p>End.</p></section>"
+    )
+    page = (
+        "<body><div><p>Elsewhere.</p></div><div class='sidebar'><p>side, side, side</p></div>"
+        f"<{tag}>{inside}<aside>aside</aside><div class='share'>share</div></{tag}><div><p>Also.</p></div></body>"
+    )
+    text = main_text(page)
+    assert text.startswith("Name Short. Paragraph 0,") and text.endswith("item quoted Last End.")
+    # An article that is mostly links is no reason to keep what is beside the best container.
+    links = "".join(f"<p><a href=x>link number {i} {'to more ' * 40}</a></p>" for i in range(60))
+    page = f"<body><{tag}><div>{links}</div><p>no</p><section>{long}</section></{tag}></body>"
+    assert main_text(page).startswith("Paragraph 0,") and "link number" not in main_text(page)
+    # Nor does a list of links around the best container take that with it.
+    page = f"<body><{tag}><div>{links[:9000]}<section>{long}</section></div><p>{'plain ' * 2000}</p></{tag}></body>"
+    assert "Paragraph 0," in main_text(page) and "plain" in main_text(page)
+
+
 def test_mix_hits_its_targets(spark, docs, odd):
     found = mix(docs).toPandas()
     by_source = found.join(docs.toPandas().set_index("doc_id").source, "doc_id").groupby("source")
