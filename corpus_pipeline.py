@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from purchase_signals.llm.bpe import encode_and_decode
-from purchase_signals.llm.frames import table
+from purchase_signals.llm.frames import numbered, table
 from purchase_signals.llm.minhash_dedup import near_duplicates
 from purchase_signals.llm.mixing import in_training_order, mix
 from purchase_signals.llm.secret_scan import masked, scan
@@ -25,18 +25,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_place``: by id, rows without one last; rows of one id by their contents."""
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "near_duplicates-rows")
+    order = [F.col("doc_id").isNull().alias("_unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("_hash"), "_row"]
+    places = numbered(rows.select(*order), ["_unnamed", "doc_id", "_hash", "_row"], "near_duplicates-order")
+    places = materialise(places.select("_row", F.col("position").alias("_place")), "near_duplicates-places")
+    return rows.join(places, "_row").drop("_row")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id stays of each group; those without id stay.
+    """The first row of each group stays: that of the smallest id, one without id only if none has one.
 
-    Of rows that repeat an id one stays.
+    Rows that repeat an id are rows of their own, by their place.
     """
+    named = docs.groupBy("doc_id").count()
+    if not named.where("count > 1 or doc_id is null").isEmpty():
+        placed = _placed(docs)
+        found = materialise(near_duplicates(placed, doc_id="_place", width=5, percent=80), "near_duplicates")
+        copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_place"))
+        return placed.join(copies, "_place", "left_anti").select(*docs.columns)
     found = materialise(near_duplicates(docs, width=5, percent=80), "near_duplicates")
-    rest = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
-    named = found.where("doc_id is not null")
-    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return rest
-    once = rest.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.union(rest.where("doc_id is null"))
+    return docs.join(found.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

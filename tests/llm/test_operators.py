@@ -409,3 +409,19 @@ def test_pipeline(spark):
         docs = spark.createDataFrame(docs.collect(), docs.schema)
     assert 100 < docs.count() < 400
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_pipeline_deduplicates_rows_that_repeat_or_lack_an_id(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(6)]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[0]), (2, texts[2]), (2, texts[2]), (3, texts[2])]
+    rows += [(None, texts[1]), (None, texts[3]), (None, texts[3]), (None, texts[4]), (4, texts[5])]
+    table = spark.createDataFrame(
+        [(d, t, "en", "s", len(t)) for d, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    found = corpus_pipeline.drop_near_duplicates(spark, table, SF)
+    assert found.columns == table.columns
+    left = sorted(((r.doc_id or 0, r.text) for r in found.collect()))
+    assert left == sorted([(1, texts[0]), (2, texts[1]), (2, texts[2]), (0, texts[3]), (0, texts[4]), (4, texts[5])])
