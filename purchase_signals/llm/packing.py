@@ -124,12 +124,14 @@ def pack(
     ``ids`` and ``positions`` are little-endian unsigned 32-bit integers, ``size`` of
     each; beyond ``n_tokens`` they are padding. ``doc_starts`` tells where in its document a
     segment begins. The number of shards follows from the number of rows alone, so
-    the result does not depend on how the input is dealt. Null and empty texts have no
+    the result does not depend on how the input is dealt; rows that repeat an id or have none
+    spread over all shards. Null and empty texts have no
     tokens and give nothing. Repeated rows are packed each; null ids are kept as null.
     Further columns are passed over. Written as Parquet the rows are the matrices.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shards = max(1, -(-docs.count() // shard_rows))
+    rows, most = docs.groupBy("doc_id").count().agg(F.sum("count"), F.max("count")).first()
+    shards = max(1, -(-(rows or 0) // shard_rows))
     with open(ranks_file, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
     held: dict = {}
@@ -147,7 +149,15 @@ def pack(
         shard = group.column("shard")[0].as_py()
         return pa.Table.from_pylist([r | {"shard": shard} for r in rows], _ARROW)
 
-    dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    by = ["doc_id"]
+    if (most or 0) > 1:
+        # Rows of one id are dealt by their texts, too, and equal rows by their number.
+        by = ["doc_id", "digest", "copy"]
+        equal = docs.where("text <> ''").groupBy("doc_id", F.sha2("text", 256).alias("digest"))
+        equal = equal.agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+        copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+        docs = equal.withColumn("copy", copies)
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(*by), F.lit(shards)).alias("shard"))
     return dealt.groupBy("shard").applyInArrow(of, SCHEMA)
 
 

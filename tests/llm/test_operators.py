@@ -167,6 +167,17 @@ def test_packing_loses_nothing(spark, odd):
     assert sorted((d, ids) for (d, _), ids in documents.items()) == expected
 
 
+def test_packing_spreads_rows_that_repeat_or_lack_an_id(spark):
+    rows = [(None, f"text of row {i}") for i in range(60)] + [(7, "the same")] * 60 + [(7, f"row {i}") for i in range(60)]
+    table = spark.createDataFrame(rows + [(None, None), (7, "")], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = packing.pack(table, path, public_tokenizers.PATTERN, size=64, shard_rows=10).collect()
+    held = {}
+    for r in found:
+        held[r.shard] = held.get(r.shard, 0) + sum(start == 0 for start in r.doc_starts)
+    assert sum(held.values()) == 180 and len(held) >= 15 and max(held.values()) <= 30
+
+
 def test_best_fit_equals_a_plain_search():
     random = np.random.default_rng(3)
     lengths = random.integers(1, 50, 400).tolist()
