@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .best_fit import packed, token_pieces
 from .bpe import encode_and_decode
 from .embedding_dedup import near_vectors
 from .frames import table
@@ -117,3 +118,16 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all vectors by cosine 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces, packed into sequences of 2048 tokens by best fit."""
+    pieces = token_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    narrow = pieces.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+    return packed(narrow)
