@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -17,6 +18,7 @@ from .minhash_dedup import near_duplicates
 from .mixing import in_training_order, mix
 from .order_minhash import compared_with_edited
 from .packing import pack
+from .periodic_runs import periodic_runs, split_words
 from .quality import quality
 from .secret_scan import scan
 from .toxicity import toxicity
@@ -131,3 +133,45 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"),
     )
     return packed(narrow)
+
+
+def words_with_a_planted_period(doc_id: int | None, text: str) -> list[bytes]:
+    """The words of a text; a tenth of the ids gets a stretch repeated up to the text's end.
+
+    Rows without an id keep their words.
+    """
+    words = split_words(doc_id, text)
+    if doc_id is None or not words:
+        return words
+    drawn, last = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if last:
+        return words
+    start = drawn % len(words)
+    rest = len(words) - start
+    period = 1 + rest // (3 + drawn % 8)
+    repeated = words[start : start + period] * -(-rest // period)
+    return words[:start] + repeated[:rest]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, and digests of the texts without the repeats."""
+    found = periodic_runs(
+        table(spark, sf_dir, "documents"), words_of=words_with_a_planted_period
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    # The longest run, then the one that starts first, then the shortest period.
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    longest = F.array_max(ranked)
+    return found.withColumn("_longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_longest.col2")).alias("start"),
+        F.col("_longest.length").alias("length"),
+        (-F.col("_longest.col3")).alias("period"),
+        F.expr("1000 * _longest.length div -_longest.col3").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
