@@ -16,7 +16,10 @@ that order. Only narrow rows, without texts and ids, are put in order.
 
 from __future__ import annotations
 
+import json
+import os
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -28,32 +31,47 @@ from ..shared import materialise
 from .frames import numbered, pieces as batch_pieces
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
-# Words whose ids a Python worker remembers.
-HELD_WORDS = 1 << 19
-
+# Parts whose ids a Python worker remembers: twice as many at most.
+HELD_PARTS = 1 << 18
+# Parts and texts that are encoded at once.
+PARTS_AT_ONCE, CHARS_AT_ONCE = 4096, 1 << 21
+
+# Parts of a text that the tokenizer never merges across. White space separates. Where all
+# between is ASCII or a letter of Latin-1, parts are the tokenizer's own word classes:
+# endings after an apostrophe, letters, single digits, the rest. Anything else is left
+# whole for the tokenizer to compose and split.
 _SPACE = "\x20\x09-\x0d"
-# Parts of a text that the tokenizer never merges across. White space separates, and a
-# part that holds more than ASCII is left whole for the tokenizer to split; the others are
-# its own word classes: endings after an apostrophe, letters, single digits, the rest.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_OTHER = "\x80-\xbf\xd7\xf7\u0100-\U0010ffff"
 _PARTS = re.compile(
-    rf"[^{_SPACE}\x80-\U0010ffff]*[\x80-\U0010ffff][^{_SPACE}]*"
-    rf"|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|[A-Za-z]+|[0-9]|[^{_SPACE}A-Za-z0-9]+"
+    rf"[^{_SPACE}{_OTHER}]*[{_OTHER}][^{_SPACE}]*"
+    rf"|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|[{_LETTERS}]+|[0-9]|[^{_SPACE}{_LETTERS}0-9]+"
 )
+_WHOLE = re.compile(f"[{_OTHER}]")
 
 
 class Encoder:
-    """Ids of texts as the tokenizers library gives them, with known words remembered."""
+    """Ids of texts as the tokenizers library gives them, with those of recent parts remembered."""
 
     def __init__(self, definition: str):
+        # The task has one core; the library's own threads would take the others'.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.named = frozenset(special)
+        model = json.loads(definition)["model"]
+        suffix, size = model.get("end_of_word_suffix"), self.tokenizer.get_vocab_size()
+        self.end_ids = np.zeros(size, dtype=bool) if suffix else None
+        for token, number in model["vocab"].items() if suffix else ():
+            self.end_ids[number] = token.endswith(suffix)
         # Special tokens are found before anything else, also inside words.
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def parts(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -61,16 +79,56 @@ class Encoder:
         pieces = self.special.split(text)
         return [p for i, t in enumerate(pieces) for p in ([t] if i % 2 else _PARTS.findall(t))]
 
+    def _new(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts. Those of one word class go in one text: each ends in one token that ends a word."""
+        apart = [p for p in parts if self.end_ids is None or p in self.named or _WHOLE.search(p)]
+        found = self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)
+        ids = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(apart, found, strict=True)}
+        together = [p for p in parts if p not in ids]
+        text = self.tokenizer.encode_batch_fast([" ".join(together)], add_special_tokens=False)[0]
+        joined = np.array(text.ids, dtype="<u4")
+        ends = 4 * (np.flatnonzero(self.end_ids[joined]) + 1) if together else []
+        if len(ends) != len(together):
+            raise ArithmeticError("a part that is not one word of the tokenizer")
+        raw, at = joined.tobytes(), 0
+        for part, end in zip(together, map(int, ends), strict=True):
+            ids[part] = raw[at:end]
+            at = end
+        return [ids[p] for p in parts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if len(self.known) > HELD_PARTS:
+            # What the last parts did not use is forgotten.
+            self.known, self.earlier = {}, self.known
         parts = [self.parts(text) for text in texts]
-        if len(self.known) > HELD_WORDS:
-            self.known.clear()
-        unseen = list({p for own in parts for p in own if p not in self.known})
-        found = self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)
-        for part, encoding in zip(unseen, found, strict=True):
-            self.known[part] = np.array(encoding.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, own)) for own in parts]
+        # Held apart for these texts: a small table is quicker to look things up in.
+        own, unseen = {}, []
+        for part in set().union(*parts):
+            ids = self.known.get(part) or self.earlier.get(part)
+            if ids:
+                own[part] = self.known[part] = ids
+            else:
+                unseen.append(part)
+        for first in range(0, len(unseen), PARTS_AT_ONCE):
+            some = unseen[first : first + PARTS_AT_ONCE]
+            found = dict(zip(some, self._new(some), strict=True))
+            own.update(found)
+            self.known.update(found)
+        return [b"".join(map(own.__getitem__, p)) for p in parts]
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in groups of about ``CHARS_AT_ONCE``, or one longer text."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= CHARS_AT_ONCE:
+            yield group
+            group, size = [], 0
+    yield group
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -107,7 +165,8 @@ def token_pieces(
         encoder = _ENCODERS[name]
         for whole in batches:
             for batch in batch_pieces(whole):
-                own = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                own = [ids for group in _groups(texts) for ids in encoder.encode(group)]
                 doc_ids, numbers, starts, lengths, ids = [], [], [], [], []
                 for doc, found in zip(batch.column("doc_id").to_pylist(), own, strict=True):
                     found += end
