@@ -22,6 +22,7 @@ from .periodic_runs import periodic_runs, split_words
 from .quality import quality
 from .secret_scan import scan
 from .toxicity import toxicity
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -175,3 +176,9 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of all vectors."""
+    return whiten(table(spark, sf_dir, "embeddings"))
