@@ -32,7 +32,7 @@ from .frames import numbered, pieces as batch_pieces
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
 # Parts whose ids a Python worker remembers: twice as many at most.
-HELD_PARTS = 1 << 18
+HELD_PARTS = 1 << 19
 # Parts and texts that are encoded at once.
 PARTS_AT_ONCE, CHARS_AT_ONCE = 4096, 1 << 21
 
@@ -43,10 +43,9 @@ PARTS_AT_ONCE, CHARS_AT_ONCE = 4096, 1 << 21
 _SPACE = "\x20\x09-\x0d"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _OTHER = "\x80-\xbf\xd7\xf7\u0100-\U0010ffff"
-_PARTS = re.compile(
-    rf"[^{_SPACE}{_OTHER}]*[{_OTHER}][^{_SPACE}]*"
-    rf"|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|[{_LETTERS}]+|[0-9]|[^{_SPACE}{_LETTERS}0-9]+"
-)
+_CLASSES = rf"[{_LETTERS}]+|[0-9]|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|[^{_SPACE}{_LETTERS}0-9]+"
+_PLAIN = re.compile(_CLASSES)
+_PARTS = re.compile(rf"[^{_SPACE}{_OTHER}]*[{_OTHER}][^{_SPACE}]*|{_CLASSES}")
 _WHOLE = re.compile(f"[{_OTHER}]")
 
 
@@ -75,7 +74,7 @@ class Encoder:
 
     def parts(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
-            return _PARTS.findall(text)
+            return (_PARTS if _WHOLE.search(text) else _PLAIN).findall(text)
         pieces = self.special.split(text)
         return [p for i, t in enumerate(pieces) for p in ([t] if i % 2 else _PARTS.findall(t))]
 
