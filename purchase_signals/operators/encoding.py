@@ -22,6 +22,9 @@ from .features import purchase_label
 
 INDEX, ENCODED, SCALED, FEATURES = "game_index", "game_encoded", "scaled", "features"
 WEIGHT = "weight"
+# How the game itself becomes a feature: a slot per game, one column of category
+# numbers, or not at all.
+ONE_HOT, CATEGORY, NO_GAME = "one_hot", "category", "none"
 
 
 def running_total_before(value: str, order: str):
@@ -58,27 +61,43 @@ def game_index(df: DataFrame, game: str = GAME) -> DataFrame:
     )
 
 
-def feature_pipeline(n_games: int, one_hot: bool = True, single_row: bool = False) -> Pipeline:
-    """Stages from aggregates and index to ``features``: five scaled, then one-hot.
+def feature_pipeline(
+    n_games: int, one_hot: bool = True, single_row: bool = False, game_as: str | None = None
+) -> Pipeline:
+    """Stages from aggregates and index to ``features``: five scaled, then the game.
+
+    ``game_as`` is ``"one_hot"`` (default), ``"category"`` or ``"none"`` (the default without
+    ``one_hot``). A category is one more value, the game's index: vectors stay six wide
+    however many games there are, and trees split the games into any two sets.
 
     Only the five aggregates are scaled. One-hot slots already span 0 to 1, so
     scaling would not change them and would make each row as wide as there are
     games. With a single row there is one constant slot, which scales to 0.5.
     """
+    game_as = _game_as(game_as, one_hot)
     stages = [
         VectorAssembler(inputCols=AGGREGATE_COLUMNS, outputCol="aggregates"),
         MinMaxScaler(inputCol="aggregates", outputCol=SCALED),
     ]
     parts = [SCALED]
-    if one_hot and n_games:
+    if game_as == ONE_HOT and n_games:
         if single_row:
             stages.append(SQLTransformer(statement=f"SELECT *, 0.5D AS {ENCODED} FROM __THIS__"))
         else:
             stages.append(OneHotEncoder(inputCol=INDEX, outputCol=ENCODED))
         parts.append(ENCODED)
+    elif game_as == CATEGORY:
+        parts.append(INDEX)
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES)])
 
 
+def _game_as(game_as: str | None, one_hot: bool) -> str:
+    game_as = game_as or (ONE_HOT if one_hot else NO_GAME)
+    if game_as not in (ONE_HOT, CATEGORY, NO_GAME):
+        raise ValueError(f"game_as: {game_as}")
+    return game_as
+
+
 @dataclass
 class FeatureModel:
     """Fitted features: the per-game table, the stages and the number of games."""
@@ -86,14 +105,23 @@ class FeatureModel:
     per_game: DataFrame
     stages: PipelineModel
     n_games: int
+    game_as: str = ONE_HOT
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Encode rows that hold the aggregates and the index."""
         known = F.coalesce(F.col(INDEX), F.lit(self.n_games).cast("bigint"))
         rows = df.na.fill(0, AGGREGATE_COLUMNS).withColumn(INDEX, known)
         encoded = self.stages.transform(rows)
-        # One attribute name per game would end up in the footer of every file.
-        return encoded.withMetadata(FEATURES, {})
+        # One attribute name per game would end up in the footer of every file; trees
+        # only need to know that the last value is a category, and of how many.
+        return encoded.withMetadata(FEATURES, self.metadata())
+
+    def metadata(self) -> dict:
+        if self.game_as != CATEGORY:
+            return {}
+        last = len(AGGREGATE_COLUMNS)
+        category = {"idx": last, "name": INDEX, "num_vals": self.n_games + 1}
+        return {"ml_attr": {"attrs": {"nominal": [category]}, "num_attrs": last + 1}}
 
     def encode_games(self) -> DataFrame:
         """The per-game table with its encoded columns."""
@@ -107,8 +135,11 @@ class FeatureModel:
         return self.transform(nothing).select(FEATURES)
 
 
-def fit_features(aggs: DataFrame, one_hot: bool = True) -> FeatureModel:
-    """Fit index, encoder and scaler on one row per game."""
+def fit_features(
+    aggs: DataFrame, one_hot: bool = True, game_as: str | None = None
+) -> FeatureModel:
+    """Fit index, encoder and scaler on one row per game; see ``feature_pipeline``."""
+    game_as = _game_as(game_as, one_hot)
     aggs = materialise(aggs, "aggregates")
     index = materialise(game_index(aggs), "indexed")
     rows, n_games = aggs.count(), index.count()
@@ -119,8 +150,33 @@ def fit_features(aggs: DataFrame, one_hot: bool = True) -> FeatureModel:
     # Tells the encoder the number of categories, the one for unknown games included.
     categories = {"ml_attr": {"type": "nominal", "num_vals": n_games + 1}}
     fit_on = per_game.withMetadata(INDEX, categories)
-    stages = feature_pipeline(n_games, one_hot, single_row=rows == 1).fit(fit_on)
-    return FeatureModel(per_game, stages, n_games)
+    stages = feature_pipeline(n_games, single_row=rows == 1, game_as=game_as).fit(fit_on)
+    return FeatureModel(per_game, stages, n_games, game_as)
+
+
+def review_vectors(
+    df: DataFrame,
+    model: FeatureModel,
+    others_only: bool = False,
+    on_unscored: str = "zero",
+    aggregated=None,
+    **join_options,
+) -> DataFrame:
+    """``df`` with ``features``.
+
+    ``others_only`` leaves the review itself out of its game's aggregates, where it is one
+    of those that ``aggregated``, a condition, names as part of them (default: all).
+    """
+    if others_only:
+        columns = df.columns
+        rows = attach_by_key(df, model.per_game, written=True, **join_options)
+        encoded = model.transform(leave_one_out(rows, on_unscored, aggregated))
+        return encoded.select(*columns, FEATURES)
+    # All reviews of a game share its vector: encode games, not reviews.
+    vectors = model.encode_games().select(GAME, FEATURES)
+    rows = attach_by_key(df, vectors, **join_options)
+    known = F.coalesce(F.col(FEATURES), model.vector_of_no_game().scalar())
+    return rows.withColumn(FEATURES, known).withMetadata(FEATURES, model.metadata())
 
 
 def training_frame(
@@ -159,15 +215,7 @@ def training_frame(
         rows = df.select(*dict.fromkeys([*keep, GAME, *own]), label.alias("label"))
         if weighted:
             rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(WEIGHT))
-        if others_only:
-            rows = attach_by_key(rows, model.per_game, written=True, **join_options)
-            rows = model.transform(leave_one_out(rows, on_unscored))
-        else:
-            # All reviews of a game share its vector: encode games, not reviews.
-            vectors = model.encode_games().select(GAME, FEATURES)
-            rows = attach_by_key(rows, vectors, **join_options)
-            known = F.coalesce(F.col(FEATURES), model.vector_of_no_game().scalar())
-            rows = rows.withColumn(FEATURES, known)
+        rows = review_vectors(rows, model, others_only, on_unscored, **join_options)
     columns = [*keep, FEATURES, "label"]
     if not weighted:
         return rows.select(*columns)

@@ -89,6 +89,23 @@ numbered AS (
     count(*) OVER () AS n FROM games)"""
 
 
+# Boosting from -1 or 1 on, in 50 rounds of rate 0.1, where each round's tree tells the
+# classes apart: the margin follows from the gradient of the logistic loss alone.
+BOOSTED = """boosted AS (
+  SELECT 1 AS round, CAST(1 AS DOUBLE) AS margin
+  UNION ALL SELECT round + 1, margin + CAST(0.1 AS DOUBLE) * 4 / (1 + exp(2 * margin))
+  FROM boosted WHERE round < 50)"""
+
+PREDICTED = f"""WITH RECURSIVE {FACT}, {BOOSTED},
+sizes AS (SELECT game, count(*) AS n FROM fact GROUP BY game),
+popular AS (
+  SELECT game, CAST(n > (SELECT avg(n) FROM sizes) AS INT) AS label FROM sizes),
+predicted AS (
+  SELECT review_id, label, CAST(label AS DOUBLE) AS prediction, round((2 * label - 1)
+    * (SELECT margin FROM boosted WHERE round = 50), 6) AS margin
+  FROM fact JOIN popular ON fact.game IS NOT DISTINCT FROM popular.game WHERE NOT {IN_TRAIN})"""
+
+
 def _scaled(c):
     low, high = f"min({c}) OVER ()", f"max({c}) OVER ()"
     return f"""round(CASE WHEN {high} = {low} THEN 0.5
@@ -225,11 +242,16 @@ ORACLES = {
       {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(_AGGREGATES))},
       game_index + 5 AS hot_slot, CAST(n + 5 AS BIGINT) AS slots FROM numbered""",
     "training_frame": f"""WITH {ENCODED}, vectors AS (
-      SELECT game, {_scaled("avg_positive_score")} AS feature_0,
-        {_scaled("total_reviews")} AS feature_2, CAST(n + 5 AS BIGINT) AS slots FROM numbered)
-      SELECT review_id, coalesce(CAST(steam_purchase AS INT), 0) AS label, feature_0, feature_2,
-        slots
+      SELECT game, {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(_AGGREGATES))},
+        game_index + 5 AS hot_slot, CAST(n + 5 AS BIGINT) AS slots FROM numbered)
+      SELECT review_id, coalesce(CAST(steam_purchase AS INT), 0) AS label,
+        {", ".join(f"feature_{i}" for i in range(5))}, hot_slot, slots
       FROM fact JOIN vectors ON fact.game IS NOT DISTINCT FROM vectors.game""",
+    "train_gbt": f"""{PREDICTED} SELECT label, prediction, count(*) AS reviews FROM predicted
+      GROUP BY label, prediction""",
+    "predictions": f"{PREDICTED} SELECT review_id, label, prediction, margin FROM predicted",
+    "batch_predict": f"{PREDICTED} SELECT review_id, label, prediction, margin FROM predicted",
+    "batch_predict_others": f"{PREDICTED} SELECT review_id, label, prediction, margin FROM predicted",
     "auc_exact": f"""WITH {FACT}, f AS (
       SELECT positive_score AS x, coalesce(CAST(steam_purchase AS INT), 0) AS y FROM fact),
       r AS (SELECT y, rank() OVER (ORDER BY x)

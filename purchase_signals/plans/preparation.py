@@ -12,8 +12,10 @@ from ..operators.features import fill_numeric, flatten_sentiment, select_columns
 from ..operators.scoring import score_reviews
 from ..sinks.parquet import run_path, write_parquet, write_train_val
 from ..sources.reviews import read_reviews
+from .model import save_features
 
 RUN_PREFIX = "reviews_sentiment"
+FEATURES_FOLDER = "features"
 
 
 def score_run(
@@ -36,11 +38,13 @@ def prepare(
     others_only: bool = False,
     on_unscored: str = "zero",
     train_pct: int = 80,
+    game_as: str | None = None,
 ) -> tuple[str, str]:
-    """Write the training and the validation set of scored reviews.
+    """Write the training and the validation set of scored reviews, and the fitted features.
 
     ``key`` is the column that decides a review's side; without one, a hash of
-    the review's prepared columns does.
+    the review's prepared columns does. The features go to ``out/features``, from where
+    ``model.load_purchase_model`` reads them.
     """
     keep = [key] if key else []
     flat = flatten_sentiment(select_columns(scored, keep), on_unscored == "exclude")
@@ -48,7 +52,11 @@ def prepare(
     if key is None:
         key = "_split_key"
         flat = flat.withColumn(key, F.xxhash64(*flat.columns))
-    model = fit_features(game_aggregates(flat, on_unscored, with_sums=True), one_hot)
+    aggregates = game_aggregates(flat, on_unscored, with_sums=True)
+    model = fit_features(aggregates, one_hot, game_as)
+    save_features(
+        model, f"{out}/{FEATURES_FOLDER}", others_only=others_only, on_unscored=on_unscored
+    )
     frame = training_frame(
         flat, model, keep=[key], others_only=others_only, on_unscored=on_unscored
     )

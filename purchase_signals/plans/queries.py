@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.sentiment import parse_score_response, polarity
 from ..functions.text import clean_json_line, clean_text, is_missing, run_stamp, truncate_text
 from ..operators.aggregates import game_aggregates
-from ..operators.attach import review_features, review_features_loo
-from ..operators.encoding import fit_features, game_index, training_frame
+from ..operators.attach import attach_by_key, review_features, review_features_loo
+from ..operators.encoding import CATEGORY, fit_features, game_index, training_frame
 from ..operators.features import (
     feature_columns,
     fill_numeric,
@@ -25,7 +25,7 @@ from ..operators.quality import first_valid_rows, preview, record_count, sentime
 from ..operators.sampling import sample_exact, split_by_key
 from ..operators.scoring import score_reviews, score_reviews_batch
 from ..schema import AGGREGATE_COLUMNS, PURCHASE, SENTIMENT, STRAY_INDEX, VOTE
-from ..shared import shared_path
+from ..shared import materialise, shared_path
 from ..sinks.parquet import append_load, run_path, write_parquet, write_sample, write_train_val
 from ..sources.json_text import parse_json_lines, read_json_document
 from ..sources.lake import extract_to_lake
@@ -39,6 +39,7 @@ from .inputs import (
     table,
     benchmark_scorer,
 )
+from .model import PurchaseModel, save_purchase_model
 
 PROPS_SCHEMA = "k bigint"
 SENTIMENT_FIELDS = ["label", "score", "positive_score", "negative_score"]
@@ -438,41 +439,77 @@ def q_training_frame(spark, sf_dir):
     rows, model = _fact_model(spark, sf_dir)
     frame = training_frame(rows, model, keep=["review_id"])
     values = vector_to_array("features")
+    one_hot = F.slice(values, len(AGGREGATE_COLUMNS) + 1, F.size(values))
     return frame.select(
         "review_id",
         "label",
-        F.round(values[0], 8).alias("feature_0"),
-        F.round(values[2], 8).alias("feature_2"),
+        *[F.round(values[i], 8).alias(f"feature_{i}") for i in range(len(AGGREGATE_COLUMNS))],
+        (F.array_position(one_hot, 1.0) + len(AGGREGATE_COLUMNS) - 1).cast("bigint").alias("hot_slot"),
         F.size(values).cast("bigint").alias("slots"),
     )
 
 
+def _by_popularity(spark, sf_dir):
+    """Scored reviews that are purchases in games with more reviews than games have on average.
+
+    Trees can tell these games apart by their features, so SQL can say what they predict.
+    """
+    rows = reviews_fact(spark, sf_dir)
+    aggregates = materialise(game_aggregates(rows, with_sums=True), "aggregates")
+    usual = aggregates.agg(F.avg("total_reviews")).scalar()
+    popular = aggregates.select("game", (F.col("total_reviews") > usual).alias(PURCHASE))
+    rows = attach_by_key(rows.drop(PURCHASE), popular, written=True)
+    return rows, fit_features(aggregates, game_as=CATEGORY)
+
+
 def _trained(spark, sf_dir):
-    rows, model = _fact_model(spark, sf_dir, one_hot=False)
-    train, val = split_by_key(rows, "review_id")
-    examples = training_frame(train, model, others_only=True, weighted=True)
-    validation = training_frame(val, model, keep=["review_id"], others_only=True)
-    return training.train_gbt(examples), validation
+    rows, features = _by_popularity(spark, sf_dir)
+    train, validation = split_by_key(rows, "review_id")
+    examples = training_frame(train, features, weighted=True)
+    return PurchaseModel(features, training.train_gbt(examples)), validation
+
+
+def _encoded(model, validation):
+    frame = training_frame(validation, model.features, keep=["review_id"])
+    return training.predictions(model.trees, frame)
+
+
+def _margins(predicted):
+    return predicted.select(
+        "review_id", "label", "prediction", F.round("margin", 6).alias("margin")
+    )
 
 
 def q_train_gbt(spark, sf_dir):
     model, validation = _trained(spark, sf_dir)
-    predicted = training.predictions(model, validation)
+    predicted = _encoded(model, validation)
     return predicted.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("reviews"))
 
 
 def q_predictions(spark, sf_dir):
     model, validation = _trained(spark, sf_dir)
-    return training.predictions(model, validation).select(
-        "review_id", "label", "prediction", "margin"
-    )
+    return _margins(_encoded(model, validation))
 
 
 def q_batch_predict(spark, sf_dir):
+    """Raw reviews through a model that was saved and loaded again."""
     model, validation = _trained(spark, sf_dir)
-    path = training.save_model(model, shared_path(spark, "model"))
-    return training.batch_predict(validation, path).select(
-        "review_id", "label", "prediction", "margin"
+    path = shared_path(spark, "model")
+    save_purchase_model(model, path)
+    return _margins(training.batch_predict(validation, path, keep=["review_id"]))
+
+
+def q_batch_predict_others(spark, sf_dir):
+    """The same with each review left out of what its game's reviews say."""
+    rows, features = _by_popularity(spark, sf_dir)
+    train, validation = split_by_key(rows, "review_id")
+    examples = training_frame(train, features, others_only=True, weighted=True)
+    model = PurchaseModel(features, training.train_gbt(examples), others_only=True)
+    path = shared_path(spark, "model")
+    save_purchase_model(model, path)
+    inside = F.lit(True)
+    return _margins(
+        training.batch_predict(validation, path, keep=["review_id"], aggregated=inside)
     )
 
 

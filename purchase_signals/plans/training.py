@@ -1,5 +1,7 @@
 """Fitting, applying and evaluating the purchase model."""
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +14,7 @@ from ..operators.encoding import FEATURES, WEIGHT
 from ..operators.features import feature_columns
 from ..operators.metrics import auc_binned, auc_exact
 from ..shared import ensure_checkpoint_dir, materialise
+from .model import is_purchase_model, load_purchase_model, predict
 
 LABEL = "label"
 
@@ -27,6 +30,14 @@ def collapse_examples(df: DataFrame) -> DataFrame:
     return df.groupBy(*[c for c in df.columns if c != WEIGHT]).agg(copies.alias(WEIGHT))
 
 
+def _categories(train: DataFrame) -> list[int]:
+    """How many values each category among the features has; a tree needs as many bins."""
+    if FEATURES not in train.columns:
+        return [0]
+    attributes = train.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {})
+    return [0, *[a["num_vals"] for a in attributes.get("nominal", [])]]
+
+
 def train_gbt(train: DataFrame, max_iter: int = 50, seed: int = 42) -> PipelineModel:
     """Gradient-boosted trees on every column but ``label`` and ``weight``.
 
@@ -37,10 +48,18 @@ def train_gbt(train: DataFrame, max_iter: int = 50, seed: int = 42) -> PipelineM
     columns = feature_columns(train.drop(WEIGHT), LABEL)
     ready = columns == [FEATURES] and isinstance(train.schema[FEATURES].dataType, VectorUDT)
     stages = [] if ready else [VectorAssembler(inputCols=columns, outputCol=FEATURES)]
+    values = max(_categories(train))
     trees = GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=max_iter, seed=seed
-    )
+        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=max_iter, seed=seed,
+        maxBins=max(32, values),
+    )
     examples = materialise(collapse_examples(train), "examples")
+    rows = examples.count()
+    if 0 < rows < values:
+        # Trees allow no more bins than rows: each example in equal parts.
+        parts = -(-values // rows)
+        examples = examples.withColumn(WEIGHT, F.col(WEIGHT) / parts)
+        examples = examples.select("*", F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
     return Pipeline(stages=[*stages, trees]).fit(examples)
 
 
@@ -65,6 +84,19 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
-def batch_predict(df: DataFrame, path: str) -> DataFrame:
-    """Apply the model saved at ``path``."""
-    return predictions(PipelineModel.load(path), df)
+def batch_predict(
+    df: DataFrame, path: str, keep: Sequence[str] | None = None, **options
+) -> DataFrame:
+    """Apply the model saved at ``path``.
+
+    Where it is a whole purchase model, ``df`` holds raw reviews and the result has
+    ``keep`` (default: all their columns) and the predictions; see ``model.predict`` for the
+    options. Where it is trees alone, or ``df`` holds features already, these are applied.
+    """
+    spark = df.sparkSession
+    if not is_purchase_model(spark, path):
+        return predictions(PipelineModel.load(path), df)
+    model = load_purchase_model(spark, path)
+    if FEATURES in df.columns:
+        return predictions(model.trees, df)
+    return predict(model, df, df.columns if keep is None else keep, **options)

@@ -43,3 +43,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(spark))
+
+
+def _file(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    file = hadoop.Path(path)
+    return hadoop, file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file at once: readers find all of it, what was there before, or nothing."""
+    hadoop, file, fs = _file(spark, path)
+    new = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(new)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(file):
+        fs.delete(file, False)
+    if not fs.rename(new, file):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    _, file, fs = _file(spark, path)
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none if it is not there."""
+    _, folder, fs = _file(spark, path)
+    if not fs.exists(folder):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
