@@ -1,4 +1,4 @@
-"""spark-submit entry: sample and load raw JSON; score, prepare, train, or all three with run."""
+"""spark-submit entry: sample and load raw JSON; score, prepare, train, or all three with run; predict."""
 
 import argparse
 import functools
@@ -7,11 +7,15 @@ import json
 from pyspark.sql import SparkSession
 
 from .functions.sentiment import DEFAULT_NEGATIVE, DEFAULT_POSITIVE, lexicon_scorer
+from .operators.encoding import CATEGORY, NO_GAME, ONE_HOT
 from .plans.ingest import load_json, rejected_lines, sample_json
 from .plans.jobs import run
-from .plans.preparation import prepare, score_run
+from .plans.model import load_purchase_model, predict, save_purchase_model
+from .plans.preparation import FEATURES_FOLDER, imported, prepare, score_run
 from .plans.training import evaluate, save_model, train_gbt
-from .sources.reviews import read_latest_run
+from .schema import SENTIMENT, TEXT
+from .sinks.parquet import write_parquet
+from .sources.reviews import read_latest_run, read_reviews
 
 
 def _scorer(args):
@@ -36,10 +40,16 @@ def parser() -> argparse.ArgumentParser:
     scoring.add_argument("--positive", help="file of positive words")
     scoring.add_argument("--negative", help="file of negative words")
     scoring.add_argument("--partitions", type=int, help="spread rows before scoring")
+    scoring.add_argument("--client", help="module:function that makes a model of your own")
+    scoring.add_argument("--max-chars", type=int, help="with --client: cut texts to so many")
+    scoring.add_argument("--max-error-share", type=float, help="more ERROR rows end the step")
+    scoring.add_argument("--resume", action="store_true", help="ask for new, changed and failed reviews only")
 
     preparing = argparse.ArgumentParser(add_help=False)
-    preparing.add_argument("--key", help="column that decides the split")
+    keyed = argparse.ArgumentParser(add_help=False)
+    keyed.add_argument("--key", help="column that tells reviews apart; decides the split")
     preparing.add_argument("--no-one-hot", action="store_true")
+    preparing.add_argument("--game-as", choices=[ONE_HOT, CATEGORY, NO_GAME])
     preparing.add_argument("--others-only", action="store_true")
     preparing.add_argument("--on-unscored", choices=["zero", "exclude"], default="zero")
 
@@ -59,11 +69,11 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--lines", action="store_true", help="one object per line")
     step.add_argument("--rejected", help="with --lines: where bad lines go (OUTPUT_rejected)")
 
-    step = steps.add_parser("score", parents=[scoring])
+    step = steps.add_parser("score", parents=[scoring, keyed])
     step.add_argument("--input", required=True, help="Parquet reviews")
     step.add_argument("--output", required=True, help="root of the scored runs")
 
-    step = steps.add_parser("prepare", parents=[preparing])
+    step = steps.add_parser("prepare", parents=[preparing, keyed])
     step.add_argument("--input", required=True, help="root of the scored runs")
     step.add_argument("--output", required=True)
 
@@ -71,13 +81,43 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--train", required=True)
     step.add_argument("--validation", required=True)
     step.add_argument("--model_output", default="purchase_model")
+    step.add_argument("--features", help="fitted features of the prepare step, saved with the trees")
 
-    step = steps.add_parser("run", parents=[scoring, preparing, training])
+    step = steps.add_parser("predict", parents=[scoring, keyed])
+    step.add_argument("--input", required=True, help="Parquet reviews")
+    step.add_argument("--model", required=True, help="what train or run has saved")
+    step.add_argument("--output", required=True)
+
+    step = steps.add_parser("run", parents=[scoring, preparing, training, keyed])
     step.add_argument("--input", required=True, help="Parquet reviews")
     step.add_argument("--output", required=True)
     return top
 
 
+def _scoring(args) -> dict:
+    """The arguments of ``score_run`` and ``run`` that concern the scorer."""
+    return {
+        "scorer": _scorer(args),
+        "partitions": args.partitions,
+        "make_client": imported(args.client) if args.client else None,
+        "max_chars": args.max_chars,
+        "key": args.key,
+        "max_error_share": args.max_error_share,
+    }
+
+
+def _predict(spark, args) -> str:
+    reviews = read_reviews(spark, args.input)
+    model = load_purchase_model(spark, args.model)
+    if args.client and model.others_only:
+        # Predictions look at a review's own scores: ask once, read from the run.
+        options = {k: v for k, v in _scoring(args).items() if k != "scorer"}
+        run = score_run(spark, args.input, f"{args.output}_scored", resume=args.resume, **options)
+        reviews = spark.read.parquet(run)
+    keep = [args.key] if args.key else [c for c in reviews.columns if c not in (TEXT, SENTIMENT)]
+    return write_parquet(predict(model, reviews, keep, _scorer(args)), args.output)
+
+
 def main(argv=None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"purchase_signals {args.step}").getOrCreate()
@@ -90,29 +130,38 @@ def main(argv=None) -> dict:
             rejected = args.rejected or args.output.rstrip("/") + "_rejected"
             result["rejected"] = rejected_lines(spark, args.input, rejected)
     elif args.step == "score":
-        path = score_run(spark, args.input, args.output, _scorer(args), args.partitions)
-        result = {"scored": path}
+        result = {}
+        result["scored"] = score_run(
+            spark, args.input, args.output, report=result, resume=args.resume, **_scoring(args)
+        )
     elif args.step == "prepare":
         scored = read_latest_run(spark, args.input)
         options = (not args.no_one_hot, args.others_only, args.on_unscored)
-        train, validation = prepare(scored, args.output, args.key, *options)
+        train, validation = prepare(scored, args.output, args.key, *options, game_as=args.game_as)
         result = {"train": train, "validation": validation}
+        result["features"] = f"{args.output}/{FEATURES_FOLDER}"
     elif args.step == "train":
-        model = train_gbt(spark.read.parquet(args.train), args.max_iter)
-        result = evaluate(model, spark.read.parquet(args.validation))
-        result["model"] = save_model(model, args.model_output)
+        trees = train_gbt(spark.read.parquet(args.train), args.max_iter)
+        result = evaluate(trees, spark.read.parquet(args.validation))
+        if args.features:
+            model = load_purchase_model(spark, args.features).with_trees(trees)
+            result["model"] = save_purchase_model(model, args.model_output)
+        else:
+            result["model"] = save_model(trees, args.model_output)
+    elif args.step == "predict":
+        result = {"predictions": _predict(spark, args)}
     else:
         result = run(
             spark,
             args.input,
             args.output,
-            scorer=_scorer(args),
             max_iter=args.max_iter,
-            key=args.key,
             one_hot=not args.no_one_hot,
             others_only=args.others_only,
             on_unscored=args.on_unscored,
-            partitions=args.partitions,
+            game_as=args.game_as,
+            take_over=args.resume,
+            **_scoring(args),
         )
     print(json.dumps(result))
     return result

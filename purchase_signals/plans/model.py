@@ -61,9 +61,9 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def is_purchase_model(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds at least one version that was saved to its end."""
+    """Whether ``path`` is a version that was saved to its end, or holds one."""
     path = path.rstrip("/")
-    return any(
+    return bool(read_text(spark, f"{path}/{MANIFEST}")) or any(
         read_text(spark, f"{path}/v{v}/{MANIFEST}") for v in reversed(_versions(spark, path))
     )
 
@@ -91,11 +91,10 @@ def save_purchase_model(model: PurchaseModel, path: str) -> str:
 
 
 def load_purchase_model(spark: SparkSession, path: str, version: int | None = None) -> PurchaseModel:
-    """The newest finished version below ``path``, or the one asked for."""
+    """The newest finished version below ``path``, or the one asked for; ``path`` may be a version's folder."""
     path = path.rstrip("/")
-    wanted = reversed(_versions(spark, path)) if version is None else [version]
-    for number in wanted:
-        folder = f"{path}/v{number}"
+    wanted = list(reversed(_versions(spark, path))) if version is None else [version]
+    for folder in [path, *[f"{path}/v{number}" for number in wanted]]:
         text = read_text(spark, f"{folder}/{MANIFEST}")
         if text is None:
             continue

@@ -259,8 +259,25 @@ ORACLES = {
       SELECT round((sum(CASE WHEN y = 1 THEN rk ELSE 0 END)
         - sum(y) * (sum(y) + 1) / CAST(2 AS DOUBLE))
         / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y))), 8) AS auc FROM r""",
-    "end_to_end": f"""WITH {REVIEWS}, halves AS (
-      SELECT coalesce(CAST(steam_purchase AS INT), 0) AS label,
-        CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'validation' END AS part FROM reviews)
-      SELECT part, label, count(*) AS reviews FROM halves GROUP BY part, label""",
+    "score_again": f"""WITH {SCORED}, counts AS (SELECT review_id, p FROM counted)
+      SELECT review_id,
+        CASE WHEN p % 2 = 1 THEN 'POSITIVE' ELSE label END AS label,
+        CASE WHEN p % 2 = 1 THEN CAST(1 AS FLOAT) ELSE score END AS score,
+        CASE WHEN p % 2 = 1 THEN CAST(1 AS FLOAT) ELSE positive_score END AS positive_score,
+        CASE WHEN p % 2 = 1 THEN CAST(0 AS FLOAT) ELSE negative_score END AS negative_score
+      FROM scored JOIN counts USING (review_id)""",
+    "end_to_end": f"""WITH RECURSIVE {REVIEWS}, {BOOSTED},
+    sizes AS (SELECT game, count(*) AS n FROM reviews GROUP BY game),
+    halves AS (
+      SELECT CAST(n > (SELECT avg(n) FROM sizes) AS INT) AS label,
+        CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'validation' END AS part
+      FROM reviews JOIN sizes ON reviews.game IS NOT DISTINCT FROM sizes.game),
+    counted AS (
+      SELECT part, label, count(*) AS reviews, CAST(NULL AS DOUBLE) AS margin FROM halves
+      GROUP BY part, label
+      UNION ALL SELECT 'predictions', label, count(*), round((2 * label - 1)
+        * (SELECT margin FROM boosted WHERE round = 50), 6)
+      FROM halves WHERE part = 'validation' GROUP BY label)
+    SELECT *, CASE WHEN (SELECT count(DISTINCT label) FROM halves WHERE part = 'validation') = 2
+      THEN CAST(1 AS DOUBLE) END AS auc FROM counted""",
 }

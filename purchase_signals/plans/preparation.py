@@ -1,33 +1,112 @@
 """From reviews to scored runs, and from scored reviews to training data."""
 
+import importlib
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sentiment import lexicon_scorer
 from ..operators.aggregates import game_aggregates
 from ..operators.encoding import fit_features, training_frame
 from ..operators.features import fill_numeric, flatten_sentiment, select_columns
-from ..operators.scoring import score_reviews
-from ..sinks.parquet import run_path, write_parquet, write_train_val
-from ..sources.reviews import read_reviews
+from ..operators.rescoring import ASKED, score_again
+from ..operators.scoring import score_reviews, score_reviews_batch
+from ..schema import ERROR, SENTIMENT
+from ..shared import remove, write_text
+from ..sinks.parquet import new_run_path, write_parquet, write_train_val
+from ..sources.reviews import read_reviews, runs_with
 from .model import save_features
 
 RUN_PREFIX = "reviews_sentiment"
 FEATURES_FOLDER = "features"
 
 
+# Marks a run of which too many reviews came back as ERROR: not for readers, but the next
+# run takes over its other answers.
+TOO_MANY_ERRORS = "_TOO_MANY_ERRORS"
+
+
+class TooManyErrors(RuntimeError):
+    """More reviews than allowed could not be scored; ``path`` holds the run."""
+
+    def __init__(self, path: str, errors: int, rows: int):
+        super().__init__(f"{errors} of {rows} reviews could not be scored, see {path}")
+        self.path, self.errors, self.rows = path, errors, rows
+
+
+def imported(name: str) -> Callable:
+    """The function that ``module:function`` names."""
+    module, _, function = name.partition(":")
+    if not function:
+        raise ValueError(f"not module:function: {name}")
+    return getattr(importlib.import_module(module), function)
+
+
+def latest_scored(spark: SparkSession, root: str) -> str | None:
+    """The newest run below ``root`` whose answers can be taken over."""
+    marks = ("_SUCCESS", TOO_MANY_ERRORS)
+    for _, path in runs_with(spark, root, marks):
+        return path
+    return None
+
+
 def score_run(
     spark: SparkSession,
     source: str,
     root: str,
     scorer: Callable = lexicon_scorer,
     partitions: int | None = None,
+    make_client: Callable | None = None,
+    max_chars: int | None = None,
+    key: str | None = None,
+    resume: bool = False,
+    max_error_share: float | None = None,
+    report: dict | None = None,
 ) -> str:
-    """Score the reviews at ``source`` into a new run folder below ``root``."""
-    scored = score_reviews(read_reviews(spark, source), scorer, partitions=partitions)
-    return write_parquet(scored, run_path(root, RUN_PREFIX))
+    """Score the reviews at ``source`` into a new run folder below ``root``.
+
+    ``make_client`` takes the place of ``scorer``: it makes a model of the caller's own, see
+    ``score_reviews_batch``. ``resume`` takes over what the newest run below ``root`` knows, by
+    ``key``, and asks for new, changed and failed reviews only.
+
+    Rows and failures are counted while they are written. If more than ``max_error_share`` of the rows
+    are ERROR, the run is marked so that no reader takes it for a finished one, and
+    TooManyErrors is raised; ``resume`` goes on from there. ``report`` is given ``rows``, ``asked`` and
+    ``errors``.
+    """
+    if resume and key is None:
+        raise ValueError("resume needs a key")
+
+    def ask(rows):
+        if make_client is None:
+            return score_reviews(rows, scorer, partitions=partitions)
+        return score_reviews_batch(rows, make_client, partitions=partitions, max_chars=max_chars)
+
+    reviews = read_reviews(spark, source)
+    previous = latest_scored(spark, root) if resume else None
+    if previous is None:
+        scored = ask(reviews).withColumn(ASKED, F.lit(True))
+    else:
+        scored = score_again(reviews, spark.read.parquet(previous), key, ask)
+    counts = Observation(f"scored-{uuid.uuid4().hex}")
+    failed = F.col(f"{SENTIMENT}.label") == ERROR
+    counted = scored.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(ASKED).alias("asked"),
+        F.count_if(failed).alias("errors"),
+    )
+    path = write_parquet(counted.drop(ASKED), new_run_path(spark, root, RUN_PREFIX))
+    found = counts.get
+    if report is not None:
+        report |= found
+    if max_error_share is not None and found["errors"] > max_error_share * found["rows"]:
+        write_text(spark, f"{path}/{TOO_MANY_ERRORS}", "")
+        remove(spark, f"{path}/_SUCCESS")
+        raise TooManyErrors(path, found["errors"], found["rows"])
+    return path
 
 
 def prepare(

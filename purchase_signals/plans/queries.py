@@ -40,6 +40,7 @@ from .inputs import (
     benchmark_scorer,
 )
 from .model import PurchaseModel, save_purchase_model
+from .preparation import score_run
 
 PROPS_SCHEMA = "k bigint"
 SENTIMENT_FIELDS = ["label", "score", "positive_score", "negative_score"]
@@ -228,6 +229,40 @@ def q_score_reviews_batch(spark, sf_dir):
     return struct_fields(score_reviews_batch(reviews(spark, sf_dir), make_client))
 
 
+def q_score_again(spark, sf_dir):
+    """A second run asks for the reviews that the first one could not score, and for no others.
+
+    The first client has no answer where an odd number of its positive words occurs; the
+    second one would call every review certainly positive.
+    """
+    positive, negative = set(TEST_POSITIVE), set(TEST_NEGATIVE)
+
+    def make_failing():
+        import re
+
+        def client(texts):
+            replies = []
+            for text in texts:
+                words = re.split("[^a-z]+", text.lower())
+                p = sum(w in positive for w in words)
+                n = sum(w in negative for w in words)
+                share = (p + 1) / (p + n + 2)
+                label = "POSITIVE" if share >= 0.5 else "NEGATIVE"
+                replies.append(None if p % 2 else {"label": label, "score": max(share, 1 - share)})
+            return replies
+
+        return client
+
+    def make_certain():
+        return lambda texts: [{"label": "POSITIVE", "score": 1.0}] * len(texts)
+
+    source = write_parquet(reviews(spark, sf_dir), shared_path(spark, "source"))
+    root = shared_path(spark, "runs")
+    score_run(spark, source, root, make_client=make_failing)
+    path = score_run(spark, source, root, make_client=make_certain, key="review_id", resume=True)
+    return struct_fields(spark.read.parquet(path))
+
+
 def q_conditional_flags(spark, sf_dir):
     up, down = vote_flags(F.col(VOTE))
     return reviews(spark, sf_dir).select("review_id", up.alias("is_up"), down.alias("is_down"))
@@ -521,15 +556,26 @@ def q_auc_exact(spark, sf_dir):
 
 
 def q_end_to_end(spark, sf_dir):
-    source = write_parquet(reviews(spark, sf_dir), shared_path(spark, "source"))
-    out = shared_path(spark, "job")
-    report = jobs.run(spark, source, out, benchmark_scorer, key="review_id", one_hot=False)
-    rows = [
+    """The whole job over reviews of which those of games with many reviews are purchases."""
+    rows = reviews(spark, sf_dir).drop(PURCHASE)
+    sizes = materialise(rows.groupBy("game").agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    usual = sizes.agg(F.avg("_n")).scalar()
+    popular = sizes.select("game", (F.col("_n") > usual).alias(PURCHASE))
+    rows = attach_by_key(rows, popular, written=True)
+    source, out = write_parquet(rows, shared_path(spark, "source")), shared_path(spark, "job")
+    report = jobs.run(spark, source, out, benchmark_scorer, key="review_id", game_as=CATEGORY)
+    counted = [
         spark.read.parquet(report[part]).groupBy("label").agg(F.count(F.lit(1)).alias("reviews"))
-        .select(F.lit(part).alias("part"), "label", "reviews")
+        .select(F.lit(part).alias("part"), "label", "reviews", F.lit(None).cast("double").alias("margin"))
         for part in ("train", "validation")
-    ]
-    return rows[0].unionByName(rows[1])
+    ]
+    predicted = spark.read.parquet(report["predictions"])
+    predicted = predicted.groupBy("label", F.round("margin", 6).alias("margin")).agg(
+        F.sum("weight").cast("long").alias("reviews")
+    )
+    predicted = predicted.select(F.lit("predictions").alias("part"), "label", "reviews", "margin")
+    rows = counted[0].unionByName(counted[1]).unionByName(predicted)
+    return rows.withColumn("auc", F.lit(report["auc"]).cast("double"))
 
 
 QUERIES = {name[2:]: f for name, f in list(globals().items()) if name.startswith("q_")}

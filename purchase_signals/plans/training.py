@@ -69,10 +69,23 @@ def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("margin", margin)
 
 
-def evaluate(model: PipelineModel, validation: DataFrame, num_bins: int = 1000) -> dict:
-    """Exact and binned area under the ROC curve on ``validation``."""
-    examples = materialise(collapse_examples(validation), "examples")
-    scored = predictions(model, examples)
+def evaluate(
+    model: PipelineModel, validation: DataFrame, num_bins: int = 1000, out: str | None = None
+) -> dict:
+    """Exact and binned area under the ROC curve on ``validation``.
+
+    The distinct examples and their predictions are written to ``out``, or else to the
+    shared folder, with their number of copies as ``weight``.
+    """
+    columns = [LABEL, WEIGHT, "rawPrediction", "margin", "prediction"]
+    scored = predictions(model, materialise(collapse_examples(validation), "examples"))
+    scored = scored.select(*columns)
+    if out is None:
+        scored = materialise(scored, "predictions")
+    else:
+        spark, schema = validation.sparkSession, scored.schema
+        scored.write.mode("overwrite").parquet(out)
+        scored = spark.read.schema(schema).parquet(out)
     return {
         "auc": auc_exact(scored, "margin", LABEL, WEIGHT).first()["auc"],
         "auc_binned": auc_binned(scored, num_bins, LABEL, WEIGHT),

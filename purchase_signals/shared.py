@@ -5,6 +5,7 @@ Parquet: the lineage ends at a file, a lost executor costs nothing, and Catalyst
 sees the real size of the table.
 """
 
+import hashlib
 import tempfile
 import uuid
 
@@ -78,6 +79,23 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one file, if it is there."""
+    _, file, fs = _file(spark, path)
+    fs.delete(file, False)
+
+
+def listing(spark: SparkSession, path: str) -> str:
+    """A digest of the names, sizes and times of all files at or below ``path``."""
+    _, folder, fs = _file(spark, path)
+    files = fs.listFiles(folder, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below ``path``; none if it is not there."""
     _, folder, fs = _file(spark, path)

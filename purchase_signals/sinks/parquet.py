@@ -1,12 +1,13 @@
 """Writers. Paths are arguments and may point to any Hadoop file system."""
 
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sampling import sample_exact, split_by_key
+from ..shared import folders
 
 # Folder names of the two halves of a split.
 TRAIN_FOLDER, VALIDATION_FOLDER = "train_set", "val_set"
@@ -26,6 +27,15 @@ def run_path(root: str, prefix: str, ts: datetime | None = None) -> str:
     return f"{root.rstrip('/')}/{prefix}_{ts:%Y%m%d_%H%M%S}"
 
 
+def new_run_path(spark: SparkSession, root: str, prefix: str) -> str:
+    """``run_path`` for now, or for the first second after it that has no run yet."""
+    ts = datetime.now(timezone.utc)
+    taken = set(folders(spark, root))
+    while run_path(root, prefix, ts).rsplit("/", 1)[1] in taken:
+        ts += timedelta(seconds=1)
+    return run_path(root, prefix, ts)
+
+
 def write_train_val(
     df: DataFrame,
     out: str,

@@ -1,6 +1,7 @@
 """Parquet readers for reviews and for timestamped scoring runs."""
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +41,19 @@ def read_reviews(spark: SparkSession, path, schema=None) -> DataFrame:
     return conform(spark.read.option("mergeSchema", True).parquet(path))
 
 
-def _finished_runs(spark: SparkSession, root: str):
-    """(stamp, path) of finished runs, newest first, looked at one by one."""
+def runs_with(spark: SparkSession, root: str, marks: Sequence[str] = ("_SUCCESS",)):
+    """(stamp, path) of runs that hold one of the files ``marks``, newest first, looked at one by one."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     runs = []
-    for status in fs.listStatus(folder):
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
         path = status.getPath()
         stamp = re.search(RUN_STAMP, path.getName())
         if status.isDirectory() and stamp:
             runs.append((stamp.group(1), path.toString(), path))
     for stamp, name, path in sorted(runs, key=lambda run: run[:2], reverse=True):
-        if fs.exists(hadoop.Path(path, "_SUCCESS")):
+        if any(fs.exists(hadoop.Path(path, mark)) for mark in marks):
             yield stamp, name
 
 
@@ -62,7 +63,7 @@ def finished_runs(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     Goes through the Hadoop file system, so object stores work too. Only folder
     names travel to the driver.
     """
-    return sorted(_finished_runs(spark, root))
+    return sorted(runs_with(spark, root))
 
 
 def read_all_runs(spark: SparkSession, root: str) -> DataFrame:
@@ -80,6 +81,6 @@ def read_all_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def read_latest_run(spark: SparkSession, root: str) -> DataFrame:
     """The newest finished run below ``root``; no other folder is opened."""
-    for _, path in _finished_runs(spark, root):
+    for _, path in runs_with(spark, root):
         return spark.read.parquet(path)
     raise FileNotFoundError(f"no finished run under {root}")
