@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from .functions.sentiment import DEFAULT_NEGATIVE, DEFAULT_POSITIVE, lexicon_scorer
 from .operators.encoding import CATEGORY, NO_GAME, ONE_HOT
-from .plans.ingest import load_json, rejected_lines, sample_json
+from .plans.ingest import load_json, read_rejected, sample_json
 from .plans.jobs import run
 from .plans.model import load_purchase_model, predict, save_purchase_model
 from .plans.preparation import FEATURES_FOLDER, imported, prepare, score_run
@@ -60,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--input", required=True, help="JSON, one object per line")
     step.add_argument("--output", required=True)
     step.add_argument("--first", type=int, default=1000, help="valid rows to sample from")
+    step.add_argument("--all", action="store_true", help="sample from all valid rows")
     step.add_argument("--rows", type=int, default=200)
     step.add_argument("--seed", type=int, default=42)
 
@@ -67,7 +68,9 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--input", required=True, help="JSON files")
     step.add_argument("--output", required=True, help="table to append to")
     step.add_argument("--lines", action="store_true", help="one object per line")
-    step.add_argument("--rejected", help="with --lines: where bad lines go (OUTPUT_rejected)")
+    step.add_argument("--rejected", help="with --lines: also write the bad lines there, as text")
+    step.add_argument("--format", default="parquet", help="Spark's name of the target's format")
+    step.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
     step = steps.add_parser("score", parents=[scoring, keyed])
     step.add_argument("--input", required=True, help="Parquet reviews")
@@ -122,13 +125,19 @@ def main(argv=None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"purchase_signals {args.step}").getOrCreate()
     if args.step == "sample":
-        path = sample_json(spark, args.input, args.output, args.first, args.rows, args.seed)
+        first = None if args.all else args.first
+        path = sample_json(spark, args.input, args.output, first, args.rows, args.seed)
         result = {"sample": path}
     elif args.step == "load":
-        result = {"inserted": load_json(spark, args.input, args.output, lines=args.lines)}
-        if args.lines:
-            rejected = args.rejected or args.output.rstrip("/") + "_rejected"
-            result["rejected"] = rejected_lines(spark, args.input, rejected)
+        options = dict(option.split("=", 1) for option in args.option)
+        loaded = load_json(
+            spark, args.input, args.output, lines=args.lines, fmt=args.format, options=options
+        )
+        result = loaded if args.lines else {"inserted": loaded}
+        result = {k: v for k, v in result.items() if v or k in ("inserted", "rejected")}
+        if args.rejected:
+            bad = read_rejected(spark, args.output).select("line")
+            bad.write.mode("overwrite").text(args.rejected)
     elif args.step == "score":
         result = {}
         result["scored"] = score_run(

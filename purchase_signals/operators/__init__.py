@@ -12,7 +12,15 @@ from .features import (
 )
 from .metrics import auc_binned, auc_exact
 from .quality import first_valid_rows, preview, record_count, sentiment_label_counts
-from .sampling import sample_exact, smallest_rows, split_by_key, split_random
+from .rescoring import score_again
+from .sampling import (
+    nth_smallest,
+    sample_equal_rows,
+    sample_exact,
+    smallest_rows,
+    split_by_key,
+    split_random,
+)
 from .scoring import score_reviews, score_reviews_batch
 
 __all__ = [
@@ -28,12 +36,15 @@ __all__ = [
     "flatten_sentiment",
     "game_aggregates",
     "game_index",
+    "nth_smallest",
     "preview",
     "purchase_label",
     "record_count",
     "review_features",
     "review_features_loo",
+    "sample_equal_rows",
     "sample_exact",
+    "score_again",
     "score_reviews",
     "score_reviews_batch",
     "select_columns",

@@ -79,6 +79,12 @@ judged AS (
   SELECT *, json_valid(line) AND line[1] = '{' AS is_object FROM cleaned
   WHERE line NOT IN ('', '[', ']'))"""
 
+LOADED_LINES = """made AS (
+  SELECT *, json_object('event_id', event_id, 'event_type', event_type, 'props', props::JSON) AS j,
+    CASE WHEN event_id % 7 = 0 THEN 'odd' ELSE event_id::VARCHAR END AS mixed FROM events),
+judged AS (
+  SELECT *, event_id % 19 = 0 OR event_id % 23 = 0 OR event_id % 29 = 0 AS bad FROM made)"""
+
 # Four fifths of all digests sort before this one.
 IN_TRAIN = f"md5(CAST(review_id AS VARCHAR)) < '{'c' * 32}'"
 
@@ -145,6 +151,32 @@ ORACLES = {
       WHERE review_id % 2 = 0""",
     "json_lines_lenient": f"""WITH {JSON_LINES} SELECT event_id,
       CAST(json_extract_string(line, '$.k') AS BIGINT) AS k FROM judged WHERE is_object""",
+    "load_lines": f"""WITH {LOADED_LINES},
+    good AS (
+      SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+        CASE WHEN event_id % 3 = 0 THEN value END AS value,
+        CASE WHEN event_id % 5 = 0 THEN 'extra ' || event_id END AS extra, mixed,
+        CAST(NULL AS VARCHAR) AS line FROM judged WHERE NOT bad
+      UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, mixed, NULL FROM judged WHERE NOT bad),
+    texts AS (
+      SELECT *, '{{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":{{"k":'
+        || json_extract_string(props, '$.k') || '}}'
+        || CASE WHEN event_id % 3 = 0 THEN ',"value":' || value ELSE '' END
+        || CASE WHEN event_id % 5 = 0 THEN ',"extra field":"extra ' || event_id || '"' ELSE '' END
+        || ',"mixed":' || CASE WHEN event_id % 7 = 0 THEN '"odd"' ELSE event_id::VARCHAR END || '}}' AS text
+      FROM judged WHERE bad),
+    lines AS (
+      SELECT CASE WHEN event_id % 19 = 0 THEN text || ' x'
+        WHEN event_id % 23 = 0 THEN left(text, length(text) - 1)
+        ELSE '[' || event_id || ']' END AS line FROM texts),
+    loaded AS (
+      SELECT * FROM good UNION ALL
+      SELECT NULL, NULL, NULL, NULL, NULL, NULL, line FROM lines CROSS JOIN range(2))
+    SELECT *, (SELECT 2 * count(*) FROM judged WHERE NOT bad) AS inserted,
+      (SELECT 2 * count(*) FROM judged WHERE bad) AS rejected, 'mixed' AS conflicts FROM loaded""",
+    "sample_lines": f"""WITH {JSON_LINES}, copies AS (
+      SELECT line, row_number() OVER (PARTITION BY line) AS copy FROM cleaned)
+      SELECT line FROM copies ORDER BY md5(concat_ws('_', '42', md5(line), copy)), line LIMIT 300""",
     "json_document": "SELECT event_id, event_type, value FROM events",
     "extract_to_lake": f"WITH {REVIEWS} SELECT review_id, game, review, voted_up FROM reviews",
     "write_roundtrip": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",

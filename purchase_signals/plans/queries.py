@@ -22,7 +22,7 @@ from ..operators.features import (
 )
 from ..operators.metrics import auc_exact
 from ..operators.quality import first_valid_rows, preview, record_count, sentiment_label_counts
-from ..operators.sampling import sample_exact, split_by_key
+from ..operators.sampling import sample_equal_rows, sample_exact, split_by_key
 from ..operators.scoring import score_reviews, score_reviews_batch
 from ..schema import AGGREGATE_COLUMNS, PURCHASE, SENTIMENT, STRAY_INDEX, VOTE
 from ..shared import materialise, shared_path
@@ -31,6 +31,7 @@ from ..sources.json_text import parse_json_lines, read_json_document
 from ..sources.lake import extract_to_lake
 from ..sources.reviews import read_all_runs, read_latest_run, read_reviews
 from . import jobs, training
+from .ingest import load_json, read_loaded, read_rejected
 from .inputs import (
     TEST_NEGATIVE,
     TEST_POSITIVE,
@@ -164,6 +165,58 @@ def q_write_sample(spark, sf_dir):
     return spark.read.parquet(write_sample(rows, "review_id", shared_path(spark, "sample")))
 
 
+def _lines_file(spark, sf_dir):
+    """A file of JSON lines: fields that only some documents have, that change type, and bad lines."""
+    path = shared_path(spark, "lines")
+    n = F.col("event_id")
+    document = F.to_json(
+        F.struct(
+            "event_id", "event_type", F.from_json("props", PROPS_SCHEMA).alias("props"),
+            F.when(n % 3 == 0, F.col("value")).alias("value"),
+            F.when(n % 5 == 0, F.concat(F.lit("extra "), n)).alias("extra field"),
+        )
+    )
+    # A number in most documents, a text in some.
+    mixed = F.when(n % 7 == 0, F.lit('"odd"')).otherwise(n.cast("string"))
+    line = F.concat(F.left(document, F.length(document) - 1), F.lit(',"mixed":'), mixed, F.lit("}"))
+    line = (
+        F.when(n % 19 == 0, F.concat(line, F.lit(" x")))
+        .when(n % 23 == 0, F.left(line, F.length(line) - 1))
+        .when(n % 29 == 0, F.concat(F.lit("["), n, F.lit("]")))
+        .otherwise(line)
+    )
+    lines = table(spark, sf_dir, "events").select(F.concat(F.lit("  "), line, F.lit(",")).alias("value"))
+    edges = spark.createDataFrame([("[",), ("]",), ("",)], "value string")
+    lines.unionByName(edges).write.text(path)
+    return path
+
+
+def q_load_lines(spark, sf_dir):
+    """Documents and rejected lines of two loads of one file, the second with a given schema."""
+    target, source = shared_path(spark, "collection"), _lines_file(spark, sf_dir)
+    first = load_json(spark, source, target, lines=True)
+    second = load_json(spark, source, target, schema="event_id bigint, mixed string", lines=True)
+    good = read_loaded(spark, target).drop("uploaded_at")
+    good = good.select(
+        "event_id", "event_type", F.col("props.k").alias("k"), "value",
+        F.col("extra field").alias("extra"), "mixed", F.lit(None).cast("string").alias("line"),
+    )
+    bad = read_rejected(spark, target).select("line")
+    totals = [first["inserted"] + second["inserted"], first["rejected"] + second["rejected"]]
+    return good.unionByName(bad, allowMissingColumns=True).select(
+        "*",
+        F.lit(totals[0]).cast("long").alias("inserted"),
+        F.lit(totals[1]).cast("long").alias("rejected"),
+        F.lit(",".join(first["conflicts"])).alias("conflicts"),
+    )
+
+
+def q_sample_lines(spark, sf_dir):
+    """Lines without a key, many of them equal, sampled by what they hold."""
+    lines = json_lines(spark, sf_dir).select(clean_json_line(F.col("value")).alias("line"))
+    return sample_equal_rows(lines, "line", 300)
+
+
 # quality and preview
 
 

@@ -85,6 +85,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(file, False)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove what this library has written to the shared folder."""
+    if "/purchase_signals/" not in path:
+        raise ValueError(f"not below the shared folder: {path}")
+    _, folder, fs = _file(spark, path)
+    fs.delete(folder, True)
+
+
 def listing(spark: SparkSession, path: str) -> str:
     """A digest of the names, sizes and times of all files at or below ``path``."""
     _, folder, fs = _file(spark, path)

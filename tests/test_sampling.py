@@ -5,7 +5,9 @@ from purchase_signals.operators import (
     first_valid_rows,
     preview,
     record_count,
+    sample_equal_rows,
     sample_exact,
+    smallest_rows,
     split_by_key,
     split_random,
 )
@@ -78,3 +80,59 @@ def test_random_split_is_complete(spark):
     train, val = (ids(half) for half in split_random(spark.range(1000).repartition(4)))
     assert sorted(train + val) == list(range(1000))
     assert 0.7 < len(train) / 1000 < 0.9
+
+
+@pytest.mark.parametrize("n", [1, 3, 777, 30_000, 99_999, 100_000])
+def test_the_nth_value_is_counted_out(spark, n):
+    """Many partitions, a value on a third of the rows, nulls: the n-th is exact."""
+    value = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 1000 == 1, None)
+    rows = spark.range(0, 100_000, numPartitions=60).withColumn("v", value.otherwise(F.hash("id")))
+    ordered = sorted((r["v"] is None, r["v"] or 0, r["id"]) for r in rows.collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "2000000")
+    try:
+        got = smallest_rows(rows, F.col("v"), "id", n).coalesce(1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [(r["v"] is None, r["v"] or 0, r["id"]) for r in got.collect()] == ordered[:n]
+
+
+def test_ties_and_few_rows_when_counting(spark):
+    rows = spark.createDataFrame([(1, "a")] * 50_000 + [(0, "z"), (2, "b")], "v int, k string")
+    rows = rows.repartition(30)
+    spark.conf.set("spark.sql.shuffle.partitions", "2000000")
+    try:
+        for n, want in ((1, {(0, "z"): 1}), (40_000, {(0, "z"): 1, (1, "a"): 39_999}), (10**6, {(0, "z"): 1, (1, "a"): 50_000, (2, "b"): 1})):
+            got = smallest_rows(rows, F.col("v"), "k", n).coalesce(8)
+            counts = {(r["v"], r["k"]): 0 for r in got.collect()}
+            for r in got.collect():
+                counts[r["v"], r["k"]] += 1
+            assert counts == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_no_task_merges_more_than_it_may(spark):
+    """With n = 100,000 of many partitions, no plan limits rows in one task."""
+    rows = spark.range(0, 400_000, numPartitions=50).withColumn("v", F.hash("id"))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = smallest_rows(rows, F.col("v"), "id", 100_000)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        ids_got = sorted(r["id"] for r in got.select("id").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "TakeOrdered" not in plan
+    want = sorted((r["v"], r["id"]) for r in rows.collect())[:100_000]
+    assert ids_got == sorted(i for _, i in want)
+
+
+def test_equal_rows_are_sampled_apart(spark, monkeypatch):
+    from purchase_signals.operators import sampling
+
+    monkeypatch.setattr(sampling, "_COPIES", 100)
+    texts = spark.createDataFrame([("hot",)] * 1000 + [(f"t{i}",) for i in range(1000)] + [(None,)], "x string")
+    got = [r["x"] for r in sample_equal_rows(texts, "x", 400).collect()]
+    assert len(got) == 400 and 150 < got.count("hot") < 250 and len(set(got)) == 401 - got.count("hot")
+    again = [r["x"] for r in sample_equal_rows(texts.repartition(17), "x", 400).collect()]
+    assert sorted(again) == sorted(got)
+    assert sorted(r["x"] for r in sample_equal_rows(texts, "x", 5000).collect()).count("hot") == 1000
