@@ -27,6 +27,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sampling import smallest_rows
+from ..shared import materialise
+
 GROUP_CHARS = 1 << 20
 HELD_WORDS = 200_000
 
@@ -327,17 +330,12 @@ def frequent_words(docs: DataFrame, special: dict[str, int], max_words: int) ->
                     seen.clear()
         yield out()
 
-    # max_words words come to the driver.
-    best = (
-        docs.select("text")
-        .mapInArrow(counted, "word binary, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(max_words)
-        .select("word")
-        .collect()
-    )
+    counts = docs.select("text").mapInArrow(counted, "word binary, n long")
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n"))
+    # The count of the last word that stays is found by counting, so that tasks send only
+    # words that do: max_words come to the driver, however many tasks there are.
+    best = smallest_rows(materialise(counts, "words"), -F.col("n"), "word", max_words)
+    best = best.select("word").collect()
     return [bytes(r["word"]) for r in best if bytes(r["word"]).decode() not in special]
 
 
