@@ -10,10 +10,12 @@ from .aggregates import SUM_COLUMNS, ratio
 from .features import vote_flags
 
 BROADCAST_BYTES = 64 << 20
-# A key with more than one in this many rows is joined apart, or in as many rows as
+# A key with more than one in this many rows is joined in several parts, or in as many rows as
 # there are shuffle partitions, if these are more. There are fewer such keys than
 # that number, whatever the data.
 HOT_SHARE = 1000
+# Column of per-game tables that tells how many rows a key has.
+SIZE = "total_reviews"
 
 
 def _table_bytes(df: DataFrame, key: str) -> int:
@@ -35,40 +37,51 @@ def attach_by_key(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: int | None = None,
     written: bool = False,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of ``rows`` with a table of one row per ``key``, null-safe.
+    """Left join of ``rows`` with a table of one row per ``key``, null-safe; ``rows`` are read once.
 
     ``per_key`` is written out, unless it is ``written`` already, and measured. If it
-    is small, the join broadcasts it and ``rows`` are not shuffled. If not, the keys
-    that hold more than one in ``hot_share`` of the rows are counted out; their rows
-    get a broadcast of just those keys, and only the other rows are shuffled, none
-    of whose keys is larger than an average partition.
+    is small, the join broadcasts it and ``rows`` are not shuffled. If not, both are
+    shuffled by key and part: the keys that hold more than one in ``hot_share`` of the rows are
+    dealt to as many parts as average partitions they would fill, and only the rows of
+    ``per_key`` with these keys are copied to each of their parts.
+
+    How many rows a key has is taken from ``sizes`` (``key``, ``total_reviews``), or from ``per_key``
+    if it has that column; else it is counted, which reads the key column of ``rows`` once more.
     """
     per_key = per_key if written else materialise(per_key, "per_key")
     added = [c for c in per_key.columns if c != key]
 
     def join(left, right, how="left"):
         right = right.withColumnRenamed(key, "_joined_key")
-        joined = left.join(right, F.col(key).eqNullSafe(F.col("_joined_key")), how)
-        return joined.drop("_joined_key") if how in ("left", "inner") else joined
+        return left.join(right, F.col(key).eqNullSafe(F.col("_joined_key")), how).drop("_joined_key")
 
     if _table_bytes(per_key, key) <= broadcast_bytes:
         return join(rows, F.broadcast(per_key))
 
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if hot_share is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         hot_share = max(HOT_SHARE, partitions)
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    counts = materialise(counts, "key_counts")
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    hot = materialise(counts.where(F.col("_n") * hot_share > total).select(key), "hot_keys")
-    # Fewer than hot_share rows each; a hot key that per_key lacks keeps its nulls.
-    known = materialise(join(per_key, F.broadcast(hot), "left_semi"), "hot_rows")
-    hot_table = materialise(join(hot, F.broadcast(known)), "hot_table")
-    spread = join(rows, F.broadcast(hot_table), "inner")
-    shuffled = join(join(rows, F.broadcast(hot), "left_anti"), per_key)
-    columns = [*rows.columns, *added]
-    return spread.select(*columns).unionByName(shuffled.select(*columns))
+    if sizes is None and SIZE in per_key.columns:
+        sizes = per_key
+    if sizes is None:
+        counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias(SIZE))
+        sizes = materialise(counted, "key_counts")
+    sizes = sizes.select(key, F.col(SIZE).alias("_n"))
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = sizes.where(F.col("_n") * hot_share > total)
+    parts = F.ceil(F.col("_n") * partitions / F.lit(max(1, total))).cast("int")
+    # Fewer than hot_share rows.
+    hot = F.broadcast(materialise(hot.select(key, parts.alias("_parts")), "hot_keys"))
+    # A task's rows of one key go to one part: the same one, should the task run again.
+    part = F.pmod(F.xxhash64(F.spark_partition_id()), F.coalesce("_parts", F.lit(1)))
+    dealt = join(rows, hot).withColumn("_part", part.cast("int")).drop("_parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    copied = join(per_key, hot).withColumn("_joined_part", copies).drop("_parts")
+    copied = copied.withColumnRenamed(key, "_joined_key")
+    alike = F.col(key).eqNullSafe(F.col("_joined_key")) & (F.col("_part") == F.col("_joined_part"))
+    return dealt.join(copied, alike, "left").select(*rows.columns, *added)
 
 
 def review_features(df: DataFrame, aggs: DataFrame, **join_options) -> DataFrame:

@@ -174,7 +174,7 @@ def review_vectors(
         return encoded.select(*columns, FEATURES)
     # All reviews of a game share its vector: encode games, not reviews.
     vectors = model.encode_games().select(GAME, FEATURES)
-    rows = attach_by_key(df, vectors, **join_options)
+    rows = attach_by_key(df, vectors, sizes=model.per_game, **join_options)
     known = F.coalesce(F.col(FEATURES), model.vector_of_no_game().scalar())
     return rows.withColumn(FEATURES, known).withMetadata(FEATURES, model.metadata())
 

@@ -173,7 +173,7 @@ def predict(
         games = _predicted(model, model.features.encode_games().select(GAME, FEATURES))
         unknown = _predicted(model, model.features.vector_of_no_game())
         unknown = unknown.select(F.struct(*PREDICTED)).scalar()
-        rows = attach_by_key(rows, games, **join_options)
+        rows = attach_by_key(rows, games, sizes=model.features.per_game, **join_options)
         rows = rows.withColumns({c: F.coalesce(F.col(c), unknown[c]) for c in PREDICTED})
     else:
         own = {f.name: f.dataType for f in REVIEW_SCHEMA if f.name in (VOTE, TEXT)}

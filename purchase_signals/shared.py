@@ -93,6 +93,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str | None) -> bool:
+    """Put the folder ``path`` in the place of ``to``, or away if there is no such place.
+
+    False, and ``to`` removed, if ``path`` is not there.
+    """
+    hadoop, folder, fs = _file(spark, path)
+    if to is not None:
+        target = hadoop.Path(to)
+        fs.delete(target, True)
+    if not fs.exists(folder):
+        return False
+    if not (fs.delete(folder, True) if to is None else fs.rename(folder, target)):
+        raise OSError(f"cannot move {path}")
+    return True
+
+
 def listing(spark: SparkSession, path: str) -> str:
     """A digest of the names, sizes and times of all files at or below ``path``."""
     _, folder, fs = _file(spark, path)

@@ -6,8 +6,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sampling import sample_exact, split_by_key
-from ..shared import folders
+from ..operators.sampling import in_train, sample_exact
+from ..shared import folders, move_folder, write_text
 
 # Folder names of the two halves of a split.
 TRAIN_FOLDER, VALIDATION_FOLDER = "train_set", "val_set"
@@ -43,16 +43,22 @@ def write_train_val(
     columns: tuple[str, ...] = ("features", "label"),
     train_pct: int = 80,
 ) -> tuple[str, str]:
-    """Split by a hash of ``key`` and write both halves of ``columns``.
+    """Split by a hash of ``key`` and write both halves of ``columns``, in one write.
 
-    The split is a filter on the key, so each write starts from the scan and only
-    its own rows go through the joins above it; nothing has to be cached.
+    What makes up the rows, scans and joins, runs once. The halves are parts of one table,
+    which are then moved to the places where readers look for them.
     """
-    train, validation = split_by_key(df, key, train_pct)
-    paths = f"{out}/{TRAIN_FOLDER}", f"{out}/{VALIDATION_FOLDER}"
-    for half, path in zip((train, validation), paths):
-        write_parquet(half.select(*columns), path)
-    return paths
+    spark, columns = df.sparkSession, list(columns)
+    folder = F.when(in_train(key, train_pct), F.lit(TRAIN_FOLDER)).otherwise(VALIDATION_FOLDER)
+    rows = df.select(*columns, folder.alias("_half"))
+    staged = f"{out}/_halves-{uuid.uuid4().hex}"
+    rows.write.option("compression", "snappy").partitionBy("_half").parquet(staged)
+    for name in (TRAIN_FOLDER, VALIDATION_FOLDER):
+        if not move_folder(spark, f"{staged}/_half={name}", f"{out}/{name}"):
+            write_parquet(rows.select(*columns).limit(0), f"{out}/{name}")
+        write_text(spark, f"{out}/{name}/_SUCCESS", "")
+    move_folder(spark, staged, None)
+    return f"{out}/{TRAIN_FOLDER}", f"{out}/{VALIDATION_FOLDER}"
 
 
 def append_load(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None) -> int:

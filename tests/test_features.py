@@ -298,3 +298,60 @@ def test_weighted_frame_holds_every_review(spark):
         }
         got = {(str(r["features"]), r["label"]): r["weight"] for r in weighted.collect()}
         assert got == expected
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_reviews_are_read_once_on_both_sides_of_the_size_switch(spark, tmp_path, broadcast_bytes):
+    """Plans hold one scan of the reviews; a hot game's rows go to many parts."""
+    random_rows(spark, hot=0.6)[1].write.parquet(str(tmp_path / "reviews"))
+    df = spark.read.parquet(str(tmp_path / "reviews"))
+    aggs = game_aggregates(df, with_sums=True)
+    model = fit_features(aggs)
+    join = {"broadcast_bytes": broadcast_bytes, "hot_share": 10}
+    for frame in (
+        review_features_loo(df, aggs, **join),
+        training_frame(df, model, others_only=True, **join),
+        training_frame(df, model, **join),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "steam_purchase" in line]
+        assert len(scans) == 1
+        assert frame.count() == df.count()
+
+
+def test_a_hot_game_is_dealt_to_several_parts(spark):
+    df = spark.range(0, 8000, numPartitions=16).selectExpr("id AS review_id", "if(id % 2 = 0, 'hot', concat('g', id)) AS game")
+    per_game = df.groupBy("game").agg(F.count("*").alias("total_reviews"))
+    # Parts are those of a cluster whose shuffle partitions stay apart.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = attach_by_key(df, per_game, broadcast_bytes=0, hot_share=10)
+        tasks = joined.where("game = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1 and joined.where("total_reviews = 4000").count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_both_halves_come_from_one_pass(spark, tmp_path):
+    from purchase_signals.sinks.parquet import write_train_val
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(3000).selectExpr("id AS review_id", "cast(id % 2 AS int) AS label").mapInArrow(
+        count, "review_id long, label int"
+    )
+    for share, sizes in ((80, None), (100, (3000, 0)), (0, (0, 3000))):
+        before = seen.value
+        paths = write_train_val(rows, str(tmp_path / "out"), "review_id", ("review_id", "label"), share)
+        got = [spark.read.parquet(p) for p in paths]
+        counts = tuple(df.count() for df in got)
+        assert sum(counts) == 3000 and (sizes is None or counts == sizes)
+        assert all(df.columns == ["review_id", "label"] for df in got)
+        if sizes is None:
+            assert seen.value - before == 3000
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["train_set", "val_set"]
