@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from purchase_signals.llm.bpe import encode_and_decode
 from purchase_signals.llm.frames import numbered, table
 from purchase_signals.llm.minhash_dedup import near_duplicates
-from purchase_signals.llm.mixing import in_training_order, mix
-from purchase_signals.llm.secret_scan import masked, scan
+from purchase_signals.llm.mixing import joined_in_training_order, mix
+from purchase_signals.llm.secret_scan import masked, may_hold_secrets, scan
 from purchase_signals.llm.toxicity import without_toxic
 from purchase_signals.shared import materialise
 
@@ -50,8 +50,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live credentials are masked in the texts; examples that several owners hold stay."""
-    keyed = _keyed(docs)
+    """Live credentials are masked in the texts; examples that several owners hold stay.
+
+    Only texts that could hold a secret are written apart, scanned and joined with what
+    is found; the others pass as they are.
+    """
+    suspect = may_hold_secrets(F.col("text"))
+    keyed = materialise(_keyed(docs.where(suspect)), "suspects")
     _, findings = scan(keyed, doc_id="_key", repository=F.concat_ws("/", "source", "lang"))
     spans = (
         findings.where("verdict = 'live'")
@@ -61,7 +66,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("_spans")))
     done = keyed.join(spans, "_key", "left").withColumn("text", text)
     length = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return done.withColumn("n_chars", length).select(*docs.columns)
+    done = done.withColumn("n_chars", length).select(*docs.columns)
+    return docs.where(~suspect).unionByName(done)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
     mixed = mix(keyed.dropDuplicates(["_key"]) if _repeats(keyed) else keyed, doc_id="_key")
     taken = mixed.select(F.col("doc_id").alias("_key"), F.explode("positions").alias("position"))
-    return in_training_order(keyed.join(taken, "_key")).select(*docs.columns)
+    return joined_in_training_order(keyed, taken, "_key").select(*docs.columns)
 
 
 def _repeats(keyed: DataFrame) -> bool:
