@@ -130,6 +130,20 @@ def mix(
     )
 
 
+def joined_in_training_order(docs: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """``docs`` joined by ``key`` with ``taken (key, position)``, sorted by ranges of the position.
+
+    Ranges are found on the narrow side and written with it, so that whole rows are
+    shuffled by the join and once to their range, and never read to draw bounds.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("position").asc_nulls_last(), F.col(key).asc_nulls_last()]
+    ranged = taken.repartitionByRange(parts, *order)
+    ranged = materialise(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    joined = docs.join(ranged, key).repartitionById(parts, F.col("_range"))
+    return joined.sortWithinPartitions(*order).drop("_range")
+
+
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """``mixed`` sorted by ranges of its position, rows that are not taken last."""
     order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
