@@ -19,6 +19,7 @@ import mmap
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +28,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sampling import smallest_rows
 from ..shared import materialise
 
 GROUP_CHARS = 1 << 20
@@ -89,18 +89,27 @@ def merged(word: bytes, vocabulary: Vocabulary) -> list[int]:
     merges = vocabulary.merges
     if len(ids) > 64:
         return _merged_long(ids, merges)
-    while len(ids) > 1:
-        best, at = None, 0
-        for i in range(len(ids) - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found and (best is None or found[0] < best[0]):
-                best, at = found, i
-        if best is None:
+    get, none = merges.get, _NO_MERGE
+    found = list(map(get, zip(ids, ids[1:], strict=False), repeat(none)))
+    while found:
+        # A rank belongs to one pair; its first place is the leftmost.
+        best = min(found)
+        if best is none:
             break
+        at = found.index(best)
         ids[at : at + 2] = [best[1]]
+        del found[at]
+        if at < len(found):
+            found[at] = get((best[1], ids[at + 1]), none)
+        if at:
+            found[at - 1] = get((ids[at - 1], best[1]), none)
     return ids
 
 
+# Sorts after all merges.
+_NO_MERGE = (1 << 62, -1)
+
+
 def _merged_long(ids: list[int], merges: dict) -> list[int]:
     """The same with a heap and links, for words of any length."""
     after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
@@ -311,7 +320,11 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 
 def frequent_words(docs: DataFrame, special: dict[str, int], max_words: int) -> list[bytes]:
-    """The ``max_words`` most frequent words of all of ``docs (text)``; ties by the bytes."""
+    """The most frequent words of all of ``docs (text)``, at most ``max_words``.
+
+    Words are taken by steps of frequency (3 %, single counts where these are small), each
+    with all or none of its words: so no task sorts words, and only those that stay come to the driver.
+    """
 
     def counted(batches):
         pattern, seen = regex.compile(WORDS), Counter()
@@ -331,11 +344,17 @@ def frequent_words(docs: DataFrame, special: dict[str, int], max_words: int) ->
         yield out()
 
     counts = docs.select("text").mapInArrow(counted, "word binary, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    # The count of the last word that stays is found by counting, so that tasks send only
-    # words that do: max_words come to the driver, however many tasks there are.
-    best = smallest_rows(materialise(counts, "words"), -F.col("n"), "word", max_words)
-    best = best.select("word").collect()
+    counts = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # Steps of frequency, at most some 1,400: how many words each holds tells which to fetch.
+    step = F.floor(F.log("n") * 32)
+    steps = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    lowest, words = None, 0
+    for found in steps:
+        words += found["count"]
+        if words > max_words:
+            break
+        lowest = found["step"]
+    best = counts.where(step >= lowest).select("word").collect() if lowest is not None else []
     return [bytes(r["word"]) for r in best if bytes(r["word"]).decode() not in special]
 
 
