@@ -74,15 +74,31 @@ def _listed(words: Iterable[str]) -> list[str]:
     return sorted({w.lower() for w in words if re.fullmatch("[a-z]+", w.lower())})
 
 
+# Lists of at most so many words are looked for by one pattern; with more, every word of a
+# text is looked up.
+PATTERN_WORDS = 100
+
+
+def words_of(text: Column) -> Column:
+    """The runs of the letters a-z in the lower-cased text; empty texts hold one empty word."""
+    return F.split(F.lower(text), "[^a-z]+")
+
+
 def count_words(text: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
     """Struct of ``positive`` and ``negative``: how many words of ``text`` each list holds.
 
     Words are runs of the letters a-z in the lower-cased text. The words found in
-    either list are picked out first, in one pass whatever the length of the lists.
+    either list are picked out first, in one pass whatever the length of the lists: by a
+    pattern that matches just these, or for long lists by looking up each word in a
+    set. For more words than a plan should carry there is ``score_reviews_by_dictionary``.
     """
     positive, negative = _listed(positive), _listed(negative)
-    words = F.split(F.lower(text), "[^a-z]+")
-    found = F.filter(words, lambda w: w.isin([*positive, *negative]))
+    listed = sorted({*positive, *negative})
+    if 0 < len(listed) <= PATTERN_WORDS:
+        pattern = f"(?<![a-z])(?:{'|'.join(listed)})(?![a-z])"
+        found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    else:
+        found = F.filter(words_of(text), lambda w: w.isin(listed))
 
     def count(words, listed):
         return F.array_size(F.filter(words, lambda w: w.isin(listed)))
@@ -95,6 +111,14 @@ def count_words(text: Column, positive: Iterable[str], negative: Iterable[str])
     )
 
 
+def share_sentiment(positive: Column, negative: Column) -> Column:
+    """Sentiment from how many positive and negative words a text holds; null counts: missing text."""
+    share = (positive + 1) / (positive + negative + 2)
+    rest = F.lit(1.0) - share
+    label = F.when(share >= 0.5, F.lit(POSITIVE)).when(share < 0.5, F.lit(NEGATIVE))
+    return fill_missing(sentiment_struct(label, F.greatest(share, rest), share, rest))
+
+
 def lexicon_scorer(
     text: Column,
     positive: Iterable[str] = DEFAULT_POSITIVE,
@@ -107,14 +131,7 @@ def lexicon_scorer(
     """
     counts = count_words(model_input(present(text), max_chars), positive, negative)
 
-    def score(counts):
-        p, n = counts["positive"], counts["negative"]
-        share = (p + 1) / (p + n + 2)
-        rest = F.lit(1.0) - share
-        label = F.when(share >= 0.5, F.lit(POSITIVE)).when(share < 0.5, F.lit(NEGATIVE))
-        return fill_missing(sentiment_struct(label, F.greatest(share, rest), share, rest))
-
-    return bind(counts, score)
+    return bind(counts, lambda counts: share_sentiment(counts["positive"], counts["negative"]))
 
 
 def parse_score_response(response: Column) -> Column:

@@ -21,7 +21,7 @@ from .sampling import (
     split_by_key,
     split_random,
 )
-from .scoring import score_reviews, score_reviews_batch
+from .scoring import score_reviews, score_reviews_batch, score_reviews_by_dictionary
 
 __all__ = [
     "FeatureModel",
@@ -47,6 +47,7 @@ __all__ = [
     "score_again",
     "score_reviews",
     "score_reviews_batch",
+    "score_reviews_by_dictionary",
     "select_columns",
     "sentiment_label_counts",
     "smallest_rows",

@@ -6,9 +6,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sentiment import fill_missing, lexicon_scorer
+from ..functions.sentiment import fill_missing, lexicon_scorer, share_sentiment, words_of
 from ..functions.text import model_input, present
 from ..schema import SENTIMENT, SENTIMENT_TYPE, TEXT
+from ..shared import materialise
+from .attach import attach_by_key
 
 Scorer = Callable[[Column], Column]
 # Takes a list of texts, returns one reply per text: {"label": ..., "score": ...}.
@@ -32,6 +34,36 @@ def score_reviews(
     return scored.withColumn(SENTIMENT, fill_missing(F.col(SENTIMENT)))
 
 
+def score_reviews_by_dictionary(
+    df: DataFrame, dictionary: DataFrame, text_col: str = TEXT, **join_options
+) -> DataFrame:
+    """Add the sentiment struct by a dictionary that is a table: ``word`` and ``positive``, a boolean.
+
+    Gives what ``lexicon_scorer`` gives for the same lists, however long. Texts are taken apart
+    into words, which are counted per row before they are shuffled; the dictionary is joined to these
+    counts, and two sums per row come back. A word that very many texts hold is joined in
+    parts, see ``attach_by_key``. Words are compared in lower case; those that are not
+    letters a-z alone are never found, ones listed on both sides count on both.
+    """
+    word = F.lower("word")
+    listed = dictionary.where(F.rlike(word, F.lit("^[a-z]+$"))).groupBy(word.alias("_word")).agg(
+        F.max(F.col("positive").cast("int")).alias("_up"),
+        F.max((~F.col("positive")).cast("int")).alias("_down"),
+    )
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    text = present(F.col(text_col))
+    words = rows.select("_row", F.explode(words_of(model_input(text, None))).alias("_word"))
+    words = words.where("_word <> ''").groupBy("_row", "_word").agg(F.count(F.lit(1)).alias("_n"))
+    found = attach_by_key(words, listed, "_word", **join_options).where("_up is not null")
+    counts = found.groupBy("_row").agg(
+        F.sum(F.col("_n") * F.col("_up")).alias("_up"), F.sum(F.col("_n") * F.col("_down")).alias("_down")
+    )
+    counts = materialise(counts, "word_counts")
+    scored = rows.join(counts, "_row", "left")
+    known = [F.when(text.isNotNull(), F.coalesce(c, F.lit(0).cast("long"))) for c in ("_up", "_down")]
+    return scored.select(*df.columns, share_sentiment(*known).alias(SENTIMENT))
+
+
 def score_reviews_batch(
     df: DataFrame,
     make_client: Callable[[], Client],

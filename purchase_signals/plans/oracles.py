@@ -200,6 +200,7 @@ ORACLES = {
       FROM scored""",
     "score_reviews": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "repartition_score": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
+    "score_by_dictionary": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "score_reviews_batch": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "conditional_flags": f"""WITH {REVIEWS} SELECT review_id,
       CASE WHEN voted_up = true THEN 1 ELSE 0 END AS is_up,

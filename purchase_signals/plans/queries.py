@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sentiment import parse_score_response, polarity
+from ..functions.sentiment import parse_score_response, polarity, words_of
 from ..functions.text import clean_json_line, clean_text, is_missing, run_stamp, truncate_text
 from ..operators.aggregates import game_aggregates
 from ..operators.attach import attach_by_key, review_features, review_features_loo
@@ -23,7 +23,11 @@ from ..operators.features import (
 from ..operators.metrics import auc_exact
 from ..operators.quality import first_valid_rows, preview, record_count, sentiment_label_counts
 from ..operators.sampling import sample_equal_rows, sample_exact, split_by_key
-from ..operators.scoring import score_reviews, score_reviews_batch
+from ..operators.scoring import (
+    score_reviews,
+    score_reviews_batch,
+    score_reviews_by_dictionary,
+)
 from ..schema import AGGREGATE_COLUMNS, PURCHASE, SENTIMENT, STRAY_INDEX, VOTE
 from ..shared import materialise, shared_path
 from ..sinks.parquet import append_load, run_path, write_parquet, write_sample, write_train_val
@@ -282,6 +286,18 @@ def q_score_reviews_batch(spark, sf_dir):
     return struct_fields(score_reviews_batch(reviews(spark, sf_dir), make_client))
 
 
+def q_score_by_dictionary(spark, sf_dir):
+    """Scoring by a table of words: those of the lists among all words that the texts hold."""
+    words = reviews(spark, sf_dir).select(F.explode(words_of(F.col("review"))).alias("word"))
+    words = words.distinct().withColumn(
+        "positive",
+        F.when(F.col("word").isin(TEST_POSITIVE), True).when(F.col("word").isin(TEST_NEGATIVE), False),
+    )
+    dictionary = words.where("positive is not null")
+    scored = score_reviews_by_dictionary(reviews(spark, sf_dir), dictionary)
+    return struct_fields(scored)
+
+
 def q_score_again(spark, sf_dir):
     """A second run asks for the reviews that the first one could not score, and for no others.
 

@@ -134,3 +134,39 @@ def test_label_counts(reviews):
         "ERROR": 2,
         "NEUTRAL": 3,
     }
+
+
+def test_patterns_sets_and_dictionaries_count_alike(spark, monkeypatch):
+    """Short lists, long lists and tables of words: the same rows, odd texts included."""
+    import random
+    import string
+
+    from purchase_signals.functions import sentiment
+    from purchase_signals.operators import score_reviews_by_dictionary
+
+    draw = random.Random(4)
+    words = ["good", "goo", "od", "bad", "a", "İ", "und", "GOOD", "bad's", "x1good", "good-bad", "été"]
+    texts = [(i, " ".join(draw.choices(words, k=draw.randrange(9))) + draw.choice(["", ".", "\n", " \t"])) for i in range(300)]
+    texts += [(300, None), (301, ""), (302, " "), (303, "good" * 5), (304, "good " * 5000), (304, "good " * 5000), (None, "bad")]
+    df = spark.createDataFrame(texts, "review_id long, review string").withColumn("_up", F.lit(1))
+    positive, negative = ["Good", "a", "both", "not a word"], ["bad", "od", "both"]
+    scorer = lambda c: sentiment.lexicon_scorer(c, positive, negative)
+    told = lambda d: sorted(map(str, d.select("review_id", "review", "sentiment_analysis").collect()))
+    by_pattern = told(score_reviews(df, scorer))
+    monkeypatch.setattr(sentiment, "PATTERN_WORDS", 0)
+    by_set = told(score_reviews(df, scorer))
+    listed = spark.createDataFrame(
+        [(w, True) for w in positive] + [(w, False) for w in negative] + [("BAD", False), (None, True)],
+        "word string, positive boolean",
+    )
+    assert by_pattern == by_set == told(score_reviews_by_dictionary(df.drop("_up"), listed))
+    hot = score_reviews_by_dictionary(df.drop("_up"), listed, broadcast_bytes=0, hot_share=5)
+    assert told(hot) == by_pattern
+    # Many thousand words.
+    letters = string.ascii_lowercase
+    many = [a + b + c for a in letters for b in letters for c in letters]
+    by_set = told(score_reviews(df, lambda c: sentiment.lexicon_scorer(c, many, ["bad"])))
+    listed = spark.createDataFrame([(w, True) for w in many] + [("bad", False)], "word string, positive boolean")
+    assert told(score_reviews_by_dictionary(df.drop("_up"), listed)) == by_set
+    nothing = spark.createDataFrame([], "word string, positive boolean")
+    assert told(score_reviews_by_dictionary(df.drop("_up"), nothing)) == told(score_reviews(df, lambda c: sentiment.lexicon_scorer(c, [], [])))
