@@ -12,6 +12,7 @@ from ..operators.sampling import sample_equal_rows
 from ..schema import REVIEW_SCHEMA
 from ..shared import materialise, remove_folder, shared_path
 from ..sinks.parquet import append_load, write_parquet
+from ..sources.json_array import read_json_array
 from ..sources.json_text import read_json_document, read_json_lines
 from ..sources.json_variant import (
     DOCUMENT,
@@ -161,15 +162,24 @@ def load_json(
     """Append the documents of JSON files to ``target``.
 
     Without ``lines`` each file is one strict JSON value, which raises where it is malformed; returns
-    how many documents went in. With it, files hold an object per line and are split among tasks;
+    how many documents went in. Arrays larger than a partition are split among tasks. With it, files hold an object per line and are split among tasks;
     returns all that ``load_lines`` does. Without ``schema`` all fields of all documents are kept.
     """
     if lines:
         return load_lines(spark, path, target, schema, fmt, options)
-    rows = read_json_document(spark, path, schema)
+    rows = _strict_documents(spark, path, schema)
     return append_load(rows, target, fmt, options)
 
 
+def _strict_documents(spark: SparkSession, path, schema=None) -> DataFrame:
+    """Files that one task should read are read whole; if one is larger, all are arrays and split."""
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if largest > to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        return read_json_array(spark, path, schema)
+    return read_json_document(spark, path, schema)
+
+
 def rejected_lines(spark: SparkSession, path, out: str, schema=REVIEW_SCHEMA) -> int:
     """Write the lines that do not parse to ``out``; return how many there are."""
     _, bad = read_json_lines(spark, path, schema)

@@ -178,6 +178,8 @@ ORACLES = {
       SELECT line, row_number() OVER (PARTITION BY line) AS copy FROM cleaned)
       SELECT line FROM copies ORDER BY md5(concat_ws('_', '42', md5(line), copy)), line LIMIT 300""",
     "json_document": "SELECT event_id, event_type, value FROM events",
+    "json_array": """SELECT event_id, '} ] "' || event_type || '\\ {' AS text, value FROM events
+      UNION ALL SELECT NULL, NULL, NULL""",
     "extract_to_lake": f"WITH {REVIEWS} SELECT review_id, game, review, voted_up FROM reviews",
     "write_roundtrip": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "write_train_val": f"""WITH {REVIEWS} SELECT review_id, game,

@@ -31,6 +31,7 @@ from ..operators.scoring import (
 from ..schema import AGGREGATE_COLUMNS, PURCHASE, SENTIMENT, STRAY_INDEX, VOTE
 from ..shared import materialise, shared_path
 from ..sinks.parquet import append_load, run_path, write_parquet, write_sample, write_train_val
+from ..sources.json_array import read_json_array
 from ..sources.json_text import parse_json_lines, read_json_document
 from ..sources.lake import extract_to_lake
 from ..sources.reviews import read_all_runs, read_latest_run, read_reviews
@@ -129,6 +130,20 @@ def q_json_document(spark, sf_dir):
     return read_json_document(spark, path, schema).drop("file")
 
 
+def q_json_array(spark, sf_dir):
+    """One file that is one line: an array of events with texts that look like JSON."""
+    path = shared_path(spark, "array")
+    text = F.concat(F.lit('} ] "'), "event_type", F.lit("\\ {"))
+    event = F.to_json(F.struct("event_id", text.alias("text"), F.array(F.struct("value")).alias("items")))
+    events = table(spark, sf_dir, "events").select(F.concat(event, F.lit(",")).alias("value"))
+    ends = [spark.createDataFrame([(v,)], "value string") for v in ("[", "{}]")]
+    # In one file, as the brackets stand at its ends.
+    whole = ends[0].unionByName(events).unionByName(ends[1]).coalesce(1)
+    whole.write.option("lineSep", " ").text(path)
+    rows = read_json_array(spark, path, "event_id bigint, text string, items array<struct<value: double>>")
+    return rows.select("event_id", "text", F.col("items")[0]["value"].alias("value"))
+
+
 def q_extract_to_lake(spark, sf_dir):
     landing, lake = shared_path(spark, "landing"), shared_path(spark, "lake")
     rows = reviews(spark, sf_dir).select("review_id", "game", "review", VOTE)
