@@ -8,13 +8,15 @@ from pyspark.sql import SparkSession
 
 from .functions.sentiment import DEFAULT_NEGATIVE, DEFAULT_POSITIVE, lexicon_scorer
 from .operators.encoding import CATEGORY, NO_GAME, ONE_HOT
-from .plans.ingest import load_json, read_rejected, sample_json
+from .plans.ingest import load_json, preview_lines, read_rejected, sample_json
 from .plans.jobs import run
 from .plans.model import load_purchase_model, predict, save_purchase_model
 from .plans.preparation import FEATURES_FOLDER, imported, prepare, score_run
 from .plans.training import evaluate, save_model, train_gbt
 from .schema import SENTIMENT, TEXT
 from .sinks.parquet import write_parquet
+from .sources.dump import FORMAT, register
+from .sources.lake import extract_to_lake
 from .sources.reviews import read_latest_run, read_reviews
 
 
@@ -72,6 +74,16 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--format", default="parquet", help="Spark's name of the target's format")
     step.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
+    step = steps.add_parser("extract")
+    step.add_argument("--format", required=True, help="Spark's name of the source's format")
+    step.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
+    step.add_argument("--schema", help="columns and types, else the source is asked")
+    step.add_argument("--output", required=True, help="Parquet table to overwrite")
+
+    step = steps.add_parser("preview")
+    step.add_argument("--input", required=True, help="JSON, one object per line")
+    step.add_argument("--rows", type=int, default=5)
+
     step = steps.add_parser("score", parents=[scoring, keyed])
     step.add_argument("--input", required=True, help="Parquet reviews")
     step.add_argument("--output", required=True, help="root of the scored runs")
@@ -97,6 +109,10 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _options(args) -> dict:
+    return dict(option.split("=", 1) for option in args.option)
+
+
 def _scoring(args) -> dict:
     """The arguments of ``score_run`` and ``run`` that concern the scorer."""
     return {
@@ -124,20 +140,26 @@ def _predict(spark, args) -> str:
 def main(argv=None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"purchase_signals {args.step}").getOrCreate()
+    if getattr(args, "format", None) == FORMAT:
+        register(spark)
     if args.step == "sample":
         first = None if args.all else args.first
         path = sample_json(spark, args.input, args.output, first, args.rows, args.seed)
         result = {"sample": path}
     elif args.step == "load":
-        options = dict(option.split("=", 1) for option in args.option)
         loaded = load_json(
-            spark, args.input, args.output, lines=args.lines, fmt=args.format, options=options
+            spark, args.input, args.output, lines=args.lines, fmt=args.format, options=_options(args)
         )
         result = loaded if args.lines else {"inserted": loaded}
         result = {k: v for k, v in result.items() if v or k in ("inserted", "rejected")}
         if args.rejected:
             bad = read_rejected(spark, args.output).select("line")
             bad.write.mode("overwrite").text(args.rejected)
+    elif args.step == "extract":
+        extract_to_lake(spark, args.format, _options(args), args.output, schema=args.schema)
+        result = {"extracted": args.output}
+    elif args.step == "preview":
+        result = preview_lines(spark, args.input, args.rows)
     elif args.step == "score":
         result = {}
         result["scored"] = score_run(

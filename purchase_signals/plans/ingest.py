@@ -180,6 +180,17 @@ def _strict_documents(spark: SparkSession, path, schema=None) -> DataFrame:
     return read_json_document(spark, path, schema)
 
 
+def preview_lines(spark: SparkSession, path, n: int = 5) -> dict:
+    """The first ``n`` documents of JSON lines as they stand, and how many there are and are not."""
+    lines = lines_in_file_order(spark, path)
+    lines = lines.select(LINE, clean_json_line(F.col("value")).alias(CLEANED))
+    parsed = parsed_lines(lines.where(~F.col(CLEANED).isin("", "[", "]")))
+    bad = F.col(DOCUMENT).isNull()
+    counts = parsed.agg(F.count_if(~bad).alias("documents"), F.count_if(bad).alias("rejected"))
+    first = first_valid_rows(parsed.where(~bad).select(LINE, CLEANED), LINE, n)
+    return {**counts.first().asDict(), "first": [r[CLEANED] for r in first.collect()]}
+
+
 def rejected_lines(spark: SparkSession, path, out: str, schema=REVIEW_SCHEMA) -> int:
     """Write the lines that do not parse to ``out``; return how many there are."""
     _, bad = read_json_lines(spark, path, schema)

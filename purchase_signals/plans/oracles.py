@@ -185,6 +185,8 @@ ORACLES = {
     "write_train_val": f"""WITH {REVIEWS} SELECT review_id, game,
       coalesce(CAST(steam_purchase AS INT), 0) AS label,
       CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'validation' END AS part FROM reviews""",
+    "document_dump": """SELECT event_id, event_type, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, value, props
+      FROM events JOIN range(2) copies(copy) ON copy = 0 OR event_id % 2 = 0""",
     "append_load": """SELECT event_id, event_type, value FROM events WHERE event_id % 2 = 0
       UNION ALL SELECT event_id, event_type, value FROM events""",
     "write_sample": f"""WITH {REVIEWS} SELECT review_id, game FROM reviews

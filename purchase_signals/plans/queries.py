@@ -31,6 +31,7 @@ from ..operators.scoring import (
 from ..schema import AGGREGATE_COLUMNS, PURCHASE, SENTIMENT, STRAY_INDEX, VOTE
 from ..shared import materialise, shared_path
 from ..sinks.parquet import append_load, run_path, write_parquet, write_sample, write_train_val
+from ..sources.dump import register
 from ..sources.json_array import read_json_array
 from ..sources.json_text import parse_json_lines, read_json_document
 from ..sources.lake import extract_to_lake
@@ -152,6 +153,21 @@ def q_extract_to_lake(spark, sf_dir):
     return spark.read.parquet(lake)
 
 
+def q_document_dump(spark, sf_dir):
+    """Two loads into a partitioned document sink, and the extract of both from it as a source."""
+    fmt, path, lake = register(spark), shared_path(spark, "dump"), shared_path(spark, "lake")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", F.struct("value", F.array("props").alias("texts")).alias("held")
+    )
+    for part in (rows.where("event_id % 2 = 0"), rows):
+        append_load(part, path, fmt)
+    schema = f"{rows.schema.toDDL()}, uploaded_at timestamp"
+    extract_to_lake(spark, fmt, {"path": path, "range_bytes": "100000"}, lake, schema=schema)
+    found = spark.read.parquet(lake).where("uploaded_at is not null")
+    texts = F.col("held.texts")[0].alias("props")
+    return found.select("event_id", "event_type", run_stamp(F.col("ts")).alias("stamp"), "held.value", texts)
+
+
 # sinks
 
 
