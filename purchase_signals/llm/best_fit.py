@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -49,28 +50,69 @@ _PARTS = re.compile(rf"[^{_SPACE}{_OTHER}]*[{_OTHER}][^{_SPACE}]*|{_CLASSES}")
 _WHOLE = re.compile(f"[{_OTHER}]")
 
 
+# What a tokenizer does before it merges, for which these parts are right.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _splits_in_parts(told: dict) -> bool:
+    try:
+        own = told["normalizer"]["normalizers"]
+        split, by_bytes = told["pre_tokenizer"]["pretokenizers"]
+        return (
+            [n["type"] for n in own] == _NORMALIZERS
+            and (own[1]["pattern"], own[1]["content"]) == ({"Regex": r"\s+"}, " ")
+            and split["pattern"] == {"Regex": _SPLIT}
+            and (split["behavior"], split["invert"]) == ("Removed", True)
+            and by_bytes["type"] == "ByteLevel"
+            and not (by_bytes["add_prefix_space"] or by_bytes["use_regex"])
+            and told["model"]["type"] == "BPE"
+        )
+    except (KeyError, TypeError, ValueError):
+        return False
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes which are not printable Latin-1, from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
-    """Ids of texts as the tokenizers library gives them, with those of recent parts remembered."""
+    """Ids of texts as the tokenizers library gives them, with those of recent parts remembered.
+
+    Where the tokenizer is of another kind than the one that the parts are made for, whole texts go to it.
+    """
 
     def __init__(self, definition: str):
         # The task has one core; the library's own threads would take the others'.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.named = frozenset(special)
-        model = json.loads(definition)["model"]
-        suffix, size = model.get("end_of_word_suffix"), self.tokenizer.get_vocab_size()
-        self.end_ids = np.zeros(size, dtype=bool) if suffix else None
-        for token, number in model["vocab"].items() if suffix else ():
-            self.end_ids[number] = token.endswith(suffix)
         # Special tokens are found before anything else, also inside words.
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.named = frozenset(special)
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
+        told = json.loads(definition)
+        self.model = None
+        if _splits_in_parts(told):
+            own = told["model"]
+            settings = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+            self.model = BPE(
+                vocab=own["vocab"],
+                merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in own["merges"]],
+                # Words come here once; remembering them is done above.
+                cache_capacity=0,
+                **{k: own[k] for k in settings if own.get(k) is not None},
+            )
+            self.letters = _byte_letters()
 
     def parts(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -79,24 +121,23 @@ class Encoder:
         return [p for i, t in enumerate(pieces) for p in ([t] if i % 2 else _PARTS.findall(t))]
 
     def _new(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts. Those of one word class go in one text: each ends in one token that ends a word."""
-        apart = [p for p in parts if self.end_ids is None or p in self.named or _WHOLE.search(p)]
+        """Ids of parts. Those of one word class need nothing but lower case and the model's merges."""
+        apart = [p for p in parts if p in self.named or _WHOLE.search(p)]
         found = self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)
-        ids = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(apart, found, strict=True)}
-        together = [p for p in parts if p not in ids]
-        text = self.tokenizer.encode_batch_fast([" ".join(together)], add_special_tokens=False)[0]
-        joined = np.array(text.ids, dtype="<u4")
-        ends = 4 * (np.flatnonzero(self.end_ids[joined]) + 1) if together else []
-        if len(ends) != len(together):
-            raise ArithmeticError("a part that is not one word of the tokenizer")
-        raw, at = joined.tobytes(), 0
-        for part, end in zip(together, map(int, ends), strict=True):
-            ids[part] = raw[at:end]
-            at = end
+        ids = dict(zip(apart, map(_packed, (e.ids for e in found)), strict=True))
+        merge = self.model.tokenize
+        for part in parts:
+            if part not in ids:
+                word = part.lower()
+                if not (word.isascii() and word.isprintable()):
+                    word = word.encode().decode("latin-1").translate(self.letters)
+                ids[part] = _packed([t.id for t in merge(word)])
         return [ids[p] for p in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if self.model is None:
+            return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > HELD_PARTS:
             # What the last parts did not use is forgotten.
             self.known, self.earlier = {}, self.known
@@ -117,6 +158,10 @@ class Encoder:
         return [b"".join(map(own.__getitem__, p)) for p in parts]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _groups(texts: list[str]) -> Iterator[list[str]]:
     """``texts`` in groups of about ``CHARS_AT_ONCE``, or one longer text."""
     group: list[str] = []

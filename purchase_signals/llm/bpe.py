@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +38,13 @@ HELD_WORDS = 200_000
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# The same for texts within Latin-1, whose letters, numbers and white space are these.
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_LATIN_WORDS = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+)
+
+
 class Vocabulary(NamedTuple):
     """``merges`` maps two ids to rank and id; ``tokens`` holds each id's bytes."""
 
@@ -135,6 +143,8 @@ def _merged_long(ids: list[int], merges: dict) -> list[int]:
 
 def split_words(text: str, special: dict[str, int], pattern: regex.Pattern) -> list[str]:
     """The words of a text in order; special tokens part it and are words of their own."""
+    if _within_latin_1(text):
+        pattern = _LATIN_WORDS
     if not special or not any(token in text for token in special):
         return pattern.findall(text)
     found = []
@@ -143,6 +153,13 @@ def split_words(text: str, special: dict[str, int], pattern: regex.Pattern) -> l
     return found
 
 
+def _within_latin_1(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 def compile_lexicon(words: dict[bytes, list[int]]) -> Lexicon:
     """The minimal acyclic transducer of ``words`` and their ids (sorted insertion, Daciuk et al.)."""
     register: dict[tuple, int] = {}

@@ -98,6 +98,15 @@ def test_ids_equal_the_library(spark):
         assert np.frombuffer(ids, "<u4").tolist() == encoding.ids, text
 
 
+def test_other_tokenizers_get_whole_texts():
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    with open(file, encoding="utf-8") as definition:
+        encoder = Encoder(definition.read())
+    want = Tokenizer.from_file(file).encode_batch(TEXTS, add_special_tokens=False)
+    for ids, encoding in zip(encoder.encode(TEXTS), want, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encoding.ids
+
+
 def test_query_packs_all_documents(spark):
     got = op13_best_fit(spark, SF).collect()
     tokenizer = Tokenizer.from_file(FILE)

@@ -399,6 +399,19 @@ def test_bpe_equals_the_tokenizers_library(spark, docs, odd, monkeypatch):
     assert bpe.encode_and_decode(odd.where("false"), TOKENIZER).count() == 0
 
 
+def test_words_within_latin_1_are_those_of_the_pattern():
+    import random
+
+    import regex
+
+    pattern, draw = regex.compile(bpe.WORDS), random.Random(1)
+    letters = [chr(i) for i in range(256)] + ["'", "s", "re", " ", "  ", "\n", "ab"] * 20
+    for _ in range(20_000):
+        text = "".join(draw.choices(letters, k=draw.randrange(40)))
+        assert bpe.split_words(text, {}, pattern) == pattern.findall(text)
+    assert bpe.split_words("a\u0100 b", {}, pattern) == ["a\u0100", " b"]
+
+
 def test_lexicon_shares_suffixes_and_numbers_words():
     words = {w: [i] for i, w in enumerate([b"a", b"nation", b"station", b"ration", b"rations"])}
     lexicon = bpe.mapped_lexicon(bpe.lexicon_bytes(bpe.compile_lexicon(words)))
