@@ -16,7 +16,7 @@ from ..operators.scoring import score_reviews, score_reviews_batch
 from ..schema import ERROR, SENTIMENT
 from ..shared import remove, write_text
 from ..sinks.parquet import new_run_path, write_parquet, write_train_val
-from ..sources.reviews import read_reviews, runs_with
+from ..sources.reviews import misfit_counts, read_reviews, runs_with
 from .model import save_features
 
 RUN_PREFIX = "reviews_sentiment"
@@ -74,7 +74,7 @@ def score_run(
     Rows and failures are counted while they are written. If more than ``max_error_share`` of the rows
     are ERROR, the run is marked so that no reader takes it for a finished one, and
     TooManyErrors is raised; ``resume`` goes on from there. ``report`` is given ``rows``, ``asked`` and
-    ``errors``.
+    ``errors``, and ``misfits``: how many values of known columns were not of their type and came as null.
     """
     if resume and key is None:
         raise ValueError("resume needs a key")
@@ -101,7 +101,8 @@ def score_run(
     path = write_parquet(counted.drop(ASKED), new_run_path(spark, root, RUN_PREFIX))
     found = counts.get
     if report is not None:
-        report |= found
+        wrong = misfit_counts(spark, source)
+        report |= found | ({"misfits": wrong} if wrong else {})
     if max_error_share is not None and found["errors"] > max_error_share * found["rows"]:
         write_text(spark, f"{path}/{TOO_MANY_ERRORS}", "")
         remove(spark, f"{path}/_SUCCESS")

@@ -3,7 +3,7 @@
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import REVIEW_SCHEMA, STRAY_INDEX
@@ -31,10 +31,47 @@ def conform(df: DataFrame, schema=REVIEW_SCHEMA) -> DataFrame:
     return df.select(*kept, *absent)
 
 
+def misfits(df: DataFrame, schema=REVIEW_SCHEMA) -> dict[str, Column]:
+    """For each known column of another type than declared: whether a row's value does not fit.
+
+    These are the values that ``conform`` turns into nulls.
+    """
+    declared = {f.name: f.dataType for f in schema}
+    return {
+        f.name: F.col(f"`{f.name}`").isNotNull()
+        & F.col(f"`{f.name}`").try_cast(declared[f.name]).isNull()
+        for f in df.schema
+        if f.name in declared and f.dataType != declared[f.name]
+    }
+
+
+def misfit_rows(df: DataFrame, schema=REVIEW_SCHEMA) -> DataFrame:
+    """The rows with values that do not fit, as they are, and ``misfits``: the columns' names."""
+    found = [F.when(wrong, F.lit(name)) for name, wrong in misfits(df, schema).items()]
+    if not found:
+        return df.select("*", F.array().cast("array<string>").alias("misfits")).limit(0)
+    return df.withColumn("misfits", F.array_compact(F.array(*found))).where(F.size("misfits") > 0)
+
+
+def misfit_counts(spark: SparkSession, path) -> dict[str, int]:
+    """How many values of each known column are not of its type, where there are any.
+
+    Files whose columns have the declared types are not read; of others those columns are.
+    """
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    wrong = misfits(rows)
+    if not wrong:
+        return {}
+    counts = rows.agg(*[F.count_if(c).alias(name) for name, c in wrong.items()]).first()
+    return {name: n for name, n in counts.asDict().items() if n}
+
+
 def read_reviews(spark: SparkSession, path, schema=None) -> DataFrame:
     """Read review Parquet. With ``schema`` only those columns are scanned.
 
-    Without it a column that only some files have is there, null for the others.
+    Without it a column that only some files have is there, null for the others, and known columns get
+    their declared types. Values that do not fit these come as null; ``misfit_counts`` tells how many,
+    ``misfit_rows`` sets them apart.
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)

@@ -137,6 +137,22 @@ def test_too_many_errors_end_the_step_and_the_next_run_takes_over(spark, source,
     score_run(spark, path, root, make_client=make_picky, max_error_share=0.4)
 
 
+def test_values_that_do_not_fit_are_counted_and_set_apart(spark, source, tmp_path):
+    from purchase_signals.sources import misfit_rows, read_reviews
+
+    rows = [(1, "a", "fine", "many", "yes"), (2, "b", "x", "3", "no"), (3, "c", "y", None, "perhaps"), (4, "d", "z", "1.5", None)]
+    path = source(rows, schema="review_id long, game string, review string, comment_count string, voted_up string")
+    report = {}
+    score_run(spark, path, str(tmp_path / "runs"), make_client=make_second, report=report)
+    assert report == {"rows": 4, "asked": 4, "errors": 0, "misfits": {"comment_count": 2, "voted_up": 1}}
+    again = {}
+    score_run(spark, path, str(tmp_path / "runs"), make_client=make_none, key="review_id", resume=True, report=again)
+    assert again["asked"] == 0 and again["misfits"] == report["misfits"]
+    apart = misfit_rows(spark.read.parquet(path)).orderBy("review_id").collect()
+    assert [(r["review_id"], r["misfits"]) for r in apart] == [(1, ["comment_count"]), (3, ["voted_up"]), (4, ["comment_count"])]
+    assert misfit_rows(read_reviews(spark, path)).count() == 0
+
+
 def test_runs_of_one_second_do_not_collide(spark, source, tmp_path):
     root, path = str(tmp_path / "runs"), source(ROWS[:1])
     assert len({score_run(spark, path, root) for _ in range(3)}) == 3
