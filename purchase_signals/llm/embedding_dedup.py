@@ -1,10 +1,10 @@
 """Near-duplicate vectors by counting collisions on one-dimensional projections.
 
-Unit vectors are projected onto many random directions. The values of a direction
-are sorted, and a window is centred on each query; two vectors collide where either is
-in the other's window. Windows are opened only beyond a cut-off in both tails of a
-direction, where they hold few rows: a vector is in the tail of few directions, but
-one that is close to it is likely to be there, too. Pairs that collide ``least`` times
+Unit vectors are projected onto many random directions. Beyond a cut-off at both ends of a
+direction is a tail, which holds few rows: a vector is in the tail of few directions, but
+one that is close to it is likely to be there, too. Two vectors collide in a tail where either is
+in the window around the other; tails are not sorted, all their pairs are formed, and the
+window drops few of them. Pairs that collide ``least`` times
 are verified by their cosine. Cut-off, window and number of directions follow from
 the number of rows and from the chance, for a pair right at the threshold, to collide
 that often, which is at least ``recall``.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import materialise
-from .frames import map_arrow
+from .frames import map_arrow, numbered
 from .graph import connected_components
 
 _CELL_DIRECTIONS = 24
@@ -198,7 +198,7 @@ def near_vectors(
     Links are pairs of cosine at least ``cosine`` (between 0.5 and 1), found with
     probability ``recall`` or more each and verified in double precision. A vector that
     is null, empty, zero or not finite links with nothing. Vectors of different lengths
-    never link. Rows that repeat a ``vec_id`` are vectors like any others, of one
+    never link. Rows that repeat a ``vec_id`` are vectors like any others, with links of their own and of one
     component; a null id has no links and no component. Further columns are passed over.
     """
     prepared = materialise(
@@ -206,13 +206,49 @@ def near_vectors(
         "vectors",
     )
     usable = prepared.where("vec_id is not null and digest is not null")
+    of_id = usable.groupBy("vec_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+    if of_id.where("a <> b").isEmpty():
+        return _linked(prepared, cosine, recall, least)
+    # Vectors are told apart by their places in the order of ids.
+    places = numbered(usable.select("vec_id", "digest").distinct(), ["vec_id", "digest"], "places")
+    places = materialise(places.withColumnRenamed("position", "place"), "places")
+    keyed = usable.join(places, ["vec_id", "digest"])
+    keyed = materialise(keyed.select(F.col("place").alias("vec_id"), "digest", "unit", "cells"), "vectors")
+    found = _linked(keyed, cosine, recall, least).select(F.col("vec_id").alias("place"), "n_links", "component_id")
+    found = materialise(found.dropDuplicates(["place"]).join(places, "place"), "links")
+    # Vectors of one id are of one component.
+    first = found.groupBy("vec_id").agg(F.min("component_id").alias("a"))
+    tied = found.select("vec_id", F.col("component_id").alias("b")).join(first, "vec_id")
+    tied = connected_components(tied.select("a", "b")).withColumnRenamed("component_id", "whole")
+    found = found.join(tied.withColumnRenamed("id", "component_id"), "component_id", "left")
+    # The first place of a component is that of its smallest id.
+    root = places.select(F.col("place").alias("whole"), F.col("vec_id").alias("component_id"))
+    found = found.withColumn("whole", F.coalesce("whole", "component_id")).drop("component_id")
+    found = found.join(root, "whole").select("vec_id", "digest", "n_links", "component_id")
+    return _told(prepared, found, ["vec_id", "digest"])
+
+
+def _told(prepared: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """The result's columns for each row; rows that ``found`` lacks link with nothing."""
+    return prepared.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")).join(
+        found, by, "left"
+    ).select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
+        F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(False)).alias("kept"),
+    )
+
+
+def _linked(prepared: DataFrame, cosine: float, recall: float, least: int) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` of vectors of which each id has one, if several times."""
+    usable = prepared.where("vec_id is not null and digest is not null")
     copies = materialise(
         usable.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")),
         "copies",
     )
     classes = usable.dropDuplicates(["digest", "vec_id"]).join(copies, ["digest", "vec_id"])
     limit = math.acos(cosine)
-    # One id of several vectors stands in the tails once for each.
     members = _balls(classes.select("vec_id", "digest", "weight", "unit", "cells"), limit / 2 - _MARGIN)
     balls = members.groupBy("hub").agg(
         F.max("angle").alias("radius"), F.sum("weight").alias("weight")
@@ -299,11 +335,4 @@ def near_vectors(
             F.coalesce("component_id", "vec_id").alias("component_id"),
         )
     )
-    return prepared.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")).join(
-        told, "digest", "left"
-    ).select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(False)).alias("kept"),
-    )
+    return _told(prepared, told, ["digest"])

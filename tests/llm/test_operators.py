@@ -77,6 +77,32 @@ def test_near_vectors_equal_brute_force(spark):
     assert found[None].n_links == 0 and found[None].component_id is None
 
 
+def test_near_vectors_with_repeated_ids(spark):
+    """Vectors that share an id have links of their own; their components are one."""
+    unit = np.eye(4)
+    rows = [(5, unit[0]), (5, unit[3]), (6, unit[0] + 0.1 * unit[1]), (7, unit[3] + 0.1 * unit[2]), (8, unit[1])]
+    schema = "vec_id long, embedding array<double>"
+    told = lambda found: sorted((none(r.vec_id), r.n_links, none(r.component_id), r.kept) for r in found.collect())
+    none = lambda x: -1 if x is None else x
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], schema)
+    assert told(near_vectors(frame)) == [(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False), (8, 0, 8, True)]
+    random = np.random.default_rng(3)
+    base = random.standard_normal((40, 8))
+    near = np.concatenate([base, base[:25] + 0.2 * random.standard_normal((25, 8)), base[:6], base[:6]])
+    ids = [int(i) for i in random.integers(0, 30, len(near))]
+    rows = [(i, [float(x) for x in v]) for i, v in zip(ids, near, strict=True)]
+    odd = [(3, None), (3, [0.0] * 8), (None, rows[0][1]), (99, [1.0])]
+    found = near_vectors(spark.createDataFrame(rows + odd, schema))
+    unit = near / np.linalg.norm(near, axis=1, keepdims=True)
+    pairs = [(i, j) for i in range(len(near)) for j in range(len(near)) if i != j and unit[i] @ unit[j] >= 0.9]
+    ties = [(i, j) for i in range(len(near)) for j in range(i) if ids[i] == ids[j]]
+    root = _components(range(len(near)), pairs + ties)
+    least = {r: min(ids[i] for i in range(len(near)) if root[i] == r) for r in set(root.values())}
+    want = [(ids[i], sum(a == i for a, _ in pairs), least[root[i]], ids[i] == least[root[i]]) for i in range(len(near))]
+    want += [(3, 0, 3, True), (3, 0, 3, True), (-1, 0, -1, False), (99, 0, 99, True)]
+    assert told(found) == sorted(want)
+
+
 def test_near_duplicates_equal_brute_force(spark):
     random = np.random.default_rng(2)
     words = [f"w{i}" for i in range(300)]
