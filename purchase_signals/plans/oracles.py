@@ -1,5 +1,6 @@
 """For each registered query the SQL that DuckDB runs on the same tables."""
 
+from ..schema import AGGREGATE_COLUMNS, AUTHOR_AND_COMMENT_COLUMNS
 from .inputs import FACT_EXPRESSIONS, REVIEW_EXPRESSIONS, TEST_NEGATIVE, TEST_POSITIVE
 
 
@@ -7,15 +8,6 @@ def _words(words):
     return ", ".join(f"'{w}'" for w in words)
 
 
-_NUMBERS = [
-    "author_num_games_owned",
-    "author_num_reviews",
-    "author_playtime_forever",
-    "author_playtime_last_two_weeks",
-    "author_playtime_at_review",
-    "comment_count",
-]
-
 REVIEWS = f"""reviews AS (
   SELECT {", ".join(REVIEW_EXPRESSIONS)}
   FROM documents LEFT JOIN labels USING (doc_id))"""
@@ -47,7 +39,7 @@ SENTIMENT = "review_id, label, score, positive_score, negative_score"
 
 FLAT = f"""{SCORED},
 flat AS (
-  SELECT review_id, game, language, {", ".join(f"coalesce({c}, 0) AS {c}" for c in _NUMBERS)},
+  SELECT review_id, game, language, {", ".join(f"coalesce({c}, 0) AS {c}" for c in AUTHOR_AND_COMMENT_COLUMNS)},
     steam_purchase, voted_up, positive_score, negative_score FROM scored)"""
 
 
@@ -118,14 +110,6 @@ def _scaled(c):
       ELSE CAST({c} - {low} AS DOUBLE) / CAST({high} - {low} AS DOUBLE) END, 8)"""
 
 
-_AGGREGATES = [
-    "avg_positive_score",
-    "avg_negative_score",
-    "total_reviews",
-    "total_positive_reviews",
-    "total_negative_reviews",
-]
-
 # Scores and labels of one reply each, by how the reply is damaged.
 _REPLY_LABEL = """CASE WHEN event_id % 11 < 4 THEN 'ERROR' WHEN event_id % 11 IN (4, 7) THEN 'NEGATIVE'
       WHEN event_id % 11 = 5 THEN 'NEUTRAL' WHEN event_id % 11 = 6 THEN 'MIXED' ELSE 'POSITIVE' END"""
@@ -197,10 +181,10 @@ ORACLES = {
     "record_count": f"WITH {JSON_LINES} SELECT count(*) AS records FROM judged WHERE is_object",
     "sentiment_label_counts": f"""WITH {SCORED} SELECT label, count(*) AS reviews FROM scored
       GROUP BY label""",
-    "select_columns": f"""WITH {SCORED} SELECT review_id, game, language, {", ".join(_NUMBERS)},
+    "select_columns": f"""WITH {SCORED} SELECT review_id, game, language, {", ".join(AUTHOR_AND_COMMENT_COLUMNS)},
       steam_purchase, voted_up, label AS sentiment_label FROM scored""",
     "flatten_sentiment": f"""WITH {SCORED} SELECT review_id, game, language,
-      {", ".join(_NUMBERS)}, steam_purchase, voted_up, positive_score, negative_score
+      {", ".join(AUTHOR_AND_COMMENT_COLUMNS)}, steam_purchase, voted_up, positive_score, negative_score
       FROM scored""",
     "score_reviews": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
     "repartition_score": f"WITH {SCORED} SELECT {SENTIMENT} FROM scored",
@@ -274,12 +258,12 @@ ORACLES = {
     "game_one_hot": f"""WITH {ENCODED} SELECT game, game_index AS hot_slot,
       CAST(n AS BIGINT) AS slots FROM numbered""",
     "scaled_features": f"""WITH {ENCODED} SELECT game,
-      {", ".join(f"{_scaled(c)} AS scaled_{c}" for c in _AGGREGATES)} FROM numbered""",
+      {", ".join(f"{_scaled(c)} AS scaled_{c}" for c in AGGREGATE_COLUMNS)} FROM numbered""",
     "final_features": f"""WITH {ENCODED} SELECT game,
-      {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(_AGGREGATES))},
+      {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(AGGREGATE_COLUMNS))},
       game_index + 5 AS hot_slot, CAST(n + 5 AS BIGINT) AS slots FROM numbered""",
     "training_frame": f"""WITH {ENCODED}, vectors AS (
-      SELECT game, {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(_AGGREGATES))},
+      SELECT game, {", ".join(f"{_scaled(c)} AS feature_{i}" for i, c in enumerate(AGGREGATE_COLUMNS))},
         game_index + 5 AS hot_slot, CAST(n + 5 AS BIGINT) AS slots FROM numbered)
       SELECT review_id, coalesce(CAST(steam_purchase AS INT), 0) AS label,
         {", ".join(f"feature_{i}" for i in range(5))}, hot_slot, slots

@@ -24,7 +24,19 @@ AUTHOR_AND_COMMENT_COLUMNS = [
     "comment_count",
 ]
 NUMERIC_COLUMNS = AUTHOR_AND_COMMENT_COLUMNS + [POSITIVE_SCORE, NEGATIVE_SCORE]
-PREPARED_COLUMNS = [GAME, "language", *AUTHOR_AND_COMMENT_COLUMNS, SENTIMENT, PURCHASE, VOTE]
+PREPARED_COLUMNS = [
+    GAME,
+    "author_num_games_owned",
+    "author_num_reviews",
+    "author_playtime_forever",
+    "author_playtime_last_two_weeks",
+    "author_playtime_at_review",
+    "language",
+    "comment_count",
+    SENTIMENT,
+    PURCHASE,
+    VOTE,
+]
 AGGREGATE_COLUMNS = [
     "avg_positive_score",
     "avg_negative_score",
@@ -39,6 +51,7 @@ POSITIVE, NEGATIVE, NEUTRAL, ERROR = "POSITIVE", "NEGATIVE", "NEUTRAL", "ERROR"
 # Column that pandas leaves behind in Parquet files written from an indexed frame.
 STRAY_INDEX = "__index_level_0__"
 
+# --- fixed values: types of the input and of the sentiment struct -------------
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField(GAME, T.StringType()),

@@ -150,6 +150,9 @@ def test_command_line(spark, many, tmp_path):
     out = str(tmp_path)
     sample = main(["sample", "--input", many, "--output", f"{out}/sample", "--all", "--rows", "9"])
     assert spark.read.parquet(sample["sample"]).count() == 9
+    shown = main(["preview", "--input", many, "--rows", "2"])
+    assert (shown["documents"], shown["rejected"]) == (3500, 100)
+    assert [json.loads(line)["comment_count"] for line in shown["first"]] == [0, 1]
     loaded = main(["load", "--input", many, "--output", f"{out}/t", "--lines"])
     assert loaded == {"inserted": 3500, "rejected": 100}
     as_json = main(["load", "--input", many, "--output", f"{out}/j", "--lines", "--format", "json", "--option", "compression=gzip"])
