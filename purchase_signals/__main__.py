@@ -14,6 +14,7 @@ from .plans.model import load_purchase_model, predict, save_purchase_model
 from .plans.preparation import FEATURES_FOLDER, imported, prepare, score_run
 from .plans.training import evaluate, save_model, train_gbt
 from .schema import SENTIMENT, TEXT
+from .shared import remove_intermediates
 from .sinks.parquet import write_parquet
 from .sources.dump import FORMAT, register
 from .sources.lake import extract_to_lake
@@ -70,7 +71,7 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--input", required=True, help="JSON files")
     step.add_argument("--output", required=True, help="table to append to")
     step.add_argument("--lines", action="store_true", help="one object per line")
-    step.add_argument("--rejected", help="with --lines: also write the bad lines there, as text")
+    step.add_argument("--rejected", help="with --lines: where the bad lines go as text (OUTPUT_rejected)")
     step.add_argument("--format", default="parquet", help="Spark's name of the target's format")
     step.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
@@ -125,6 +126,18 @@ def _scoring(args) -> dict:
     }
 
 
+def _write_rejected(spark, args, staged: str | None) -> None:
+    """The bad lines of all loads into a Parquet table, or of this one into another format, as text."""
+    if args.format == "parquet":
+        bad = read_rejected(spark, args.output).select("line")
+    elif staged:
+        bad = spark.read.parquet(staged).select("line")
+    else:
+        return
+    out = args.rejected or args.output.rstrip("/") + "_rejected"
+    bad.write.mode("overwrite").text(out)
+
+
 def _predict(spark, args) -> str:
     reviews = read_reviews(spark, args.input)
     model = load_purchase_model(spark, args.model)
@@ -142,6 +155,17 @@ def main(argv=None) -> dict:
     spark = SparkSession.builder.appName(f"purchase_signals {args.step}").getOrCreate()
     if getattr(args, "format", None) == FORMAT:
         register(spark)
+    try:
+        result = _do(spark, args)
+    finally:
+        # Results are written to the paths given.
+        remove_intermediates(spark)
+    print(json.dumps(result))
+    return result
+
+
+def _do(spark: SparkSession, args) -> dict:
+    """The step that ``args`` name; returns what is printed."""
     if args.step == "sample":
         first = None if args.all else args.first
         path = sample_json(spark, args.input, args.output, first, args.rows, args.seed)
@@ -151,10 +175,9 @@ def main(argv=None) -> dict:
             spark, args.input, args.output, lines=args.lines, fmt=args.format, options=_options(args)
         )
         result = loaded if args.lines else {"inserted": loaded}
+        if args.lines:
+            _write_rejected(spark, args, result.pop("rejected_lines", None))
         result = {k: v for k, v in result.items() if v or k in ("inserted", "rejected")}
-        if args.rejected:
-            bad = read_rejected(spark, args.output).select("line")
-            bad.write.mode("overwrite").text(args.rejected)
     elif args.step == "extract":
         extract_to_lake(spark, args.format, _options(args), args.output, schema=args.schema)
         result = {"extracted": args.output}
@@ -194,7 +217,6 @@ def main(argv=None) -> dict:
             take_over=args.resume,
             **_scoring(args),
         )
-    print(json.dumps(result))
     return result
 
 

@@ -31,14 +31,33 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/purchase_signals/{name}-{uuid.uuid4().hex}"
 
 
+# What ``materialise`` has written, by application.
+_intermediate: dict[str, list[str]] = {}
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written."""
+    """Write ``df`` to the shared folder and return a scan of what was written.
+
+    The table stays until ``remove_intermediates``: results of this library read from it.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    _intermediate.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_intermediates(spark: SparkSession) -> int:
+    """Remove all tables that this application has materialised; returns how many there were.
+
+    For the end of a job, when its results are written elsewhere.
+    """
+    paths = _intermediate.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_folder(spark, path)
+    return len(paths)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     context = spark.sparkContext

@@ -165,3 +165,15 @@ def test_small_files(spark, tmp_path):
     assert read_text(spark, path) == "é 2"
     (tmp_path / "a" / "b").mkdir()
     assert folders(spark, str(tmp_path / "a")) == ["b"]
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    from purchase_signals.shared import materialise, remove_intermediates, remove_folder
+
+    remove_intermediates(spark)
+    made = [materialise(spark.range(3), "t") for _ in range(2)]
+    paths = [df.inputFiles()[0].rsplit("/", 1)[0] for df in made]
+    assert remove_intermediates(spark) == 2 and remove_intermediates(spark) == 0
+    assert all(read_text(spark, f"{p}/_SUCCESS") is None for p in paths)
+    with pytest.raises(ValueError, match="shared folder"):
+        remove_folder(spark, str(tmp_path))
