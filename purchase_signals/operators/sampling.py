@@ -35,12 +35,13 @@ def nth_smallest(values: DataFrame, n: int) -> tuple[Column, int] | None:
     few numbers, whatever the number of rows and tasks. The value is exact; the
     sample decides only how many rounds it takes.
     """
-    left, below = values, 0
+    left, below, seed = values, 0, 0
     total = left.count()
     if n < 1 or total < n:
         return None
     while total > SORTED:
-        some = left.sample(min(1.0, SAMPLED / total), seed=total % 1009)
+        seed += 1
+        some = left.sample(min(1.0, SAMPLED / total), seed=seed)
         ordered = F.sort_array(F.collect_list("_v"))
         step = F.greatest(F.lit(1), F.ceil(F.size("_all") / (PIVOTS + 1)).cast("int"))
         picked = F.transform(
