@@ -41,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to as many tasks as there are cores, however few row groups its files have."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with text; some texts, votes and numbers are missing."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

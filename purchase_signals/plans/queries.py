@@ -43,6 +43,7 @@ from .inputs import (
     TEST_POSITIVE,
     reviews,
     reviews_fact,
+    spread,
     table,
     benchmark_scorer,
 )
@@ -160,7 +161,7 @@ def q_document_dump(spark, sf_dir):
         "event_id", "event_type", "ts", F.struct("value", F.array("props").alias("texts")).alias("held")
     )
     for part in (rows.where("event_id % 2 = 0"), rows):
-        append_load(part, path, fmt)
+        append_load(spread(part), path, fmt)
     schema = f"{rows.schema.toDDL()}, uploaded_at timestamp"
     extract_to_lake(spark, fmt, {"path": path, "range_bytes": "100000"}, lake, schema=schema)
     found = spark.read.parquet(lake).where("uploaded_at is not null")

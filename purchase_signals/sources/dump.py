@@ -4,7 +4,8 @@ It stands where a document store's connector would: Spark reads and writes it by
 name and options, through its interface for data sources in Python. A load is a set of
 files that come into view together: tasks write theirs apart, and only the commit names
 them. Files that no commit names are not read, so a failed or repeated task leaves nothing behind.
-Files are read by byte ranges, each from its first whole line on.
+Files are read by byte ranges, each from its first whole line on; where there are many, a task
+takes several. Documents become JSON, and JSON columns, a batch at a time.
 
     spark.dataSource.register(DocumentDump)
     df.write.format("document_dump").mode("append").save(path)
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -38,6 +40,8 @@ FORMAT = "document_dump"
 COMMITS, DATA = "commits", "data"
 # Options: bytes of a range, and documents of a batch.
 RANGE_BYTES, BATCH_ROWS = 64 << 20, 10_000
+# With more ranges than this a task takes several, up to RANGE_BYTES in all.
+TASKS = 1_000
 
 
 def _at(path: str) -> tuple[fs.FileSystem, str]:
@@ -58,12 +62,41 @@ def _committed(path: str) -> list[tuple[str, int]]:
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     file: str
     start: int
     end: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    """What one task reads."""
+
+    ranges: list[Range]
+
+
+def _dealt(ranges: list[Range]) -> list[Ranges]:
+    """All ranges, dealt in order to tasks of about equal bytes; neighbours in a file are read as one.
+
+    Each task has one range while there are at most ``TASKS``.
+    """
+    if len(ranges) <= TASKS:
+        return [Ranges([r]) for r in ranges]
+    room = min(-(-sum(r.end - r.start for r in ranges) // TASKS), RANGE_BYTES)
+    tasks, held = [], room
+    for r in ranges:
+        if held >= room:
+            tasks.append(Ranges([]))
+            held = 0
+        mine = tasks[-1].ranges
+        if mine and mine[-1].file == r.file and mine[-1].end == r.start:
+            mine[-1] = Range(r.file, mine[-1].start, r.end)
+        else:
+            mine.append(r)
+        held += r.end - r.start
+    return tasks
+
+
 class DocumentDump(DataSource):
     """See the module; options are ``path``, ``range_bytes`` and, for a read without schema, none.
 
@@ -105,21 +138,20 @@ class DumpReader(DataSourceReader):
             for file, size in _committed(self.path)
             for start in range(0, size, self.step)
         ]
-        return ranges or [Range("", 0, 0)]
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        documents = []
-        for line in self._lines(partition):
-            documents.append(json.loads(line))
-            if len(documents) == BATCH_ROWS:
-                yield self._batch(documents)
-                documents = []
-        yield self._batch(documents)
+        return _dealt(ranges) or [Ranges([])]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        lines = []
+        for part in partition.ranges:
+            for line in self._lines(part):
+                lines.append(line)
+                if len(lines) == BATCH_ROWS:
+                    yield self._batch(lines)
+                    lines = []
+        yield self._batch(lines)
 
     def _lines(self, part: Range) -> Iterator[bytes]:
         """Lines that begin in the range; the one before its first byte belongs to the range before."""
-        if not part.file:
-            return
         system, _ = _at(self.path)
         with system.open_input_file(part.file) as source, io.BufferedReader(source) as file:
             file.seek(max(0, part.start - 1))
@@ -132,20 +164,42 @@ class DumpReader(DataSourceReader):
                 if line.strip():
                     yield line
 
-    def _batch(self, documents: list[dict]) -> pa.RecordBatch:
-        columns = [
-            pa.array([_read_value(d.get(f.name), f.type) for d in documents], f.type) for f in self.schema
-        ]
+    def _batch(self, lines: list[bytes]) -> pa.RecordBatch:
+        # Names of fields are made once for all lines of one text.
+        documents = json.loads(b"[" + b",".join(lines) + b"]")
+        if len(documents) != len(lines):
+            raise ValueError("a line is not one document")
+        columns = [_column([d.get(f.name) for d in documents], f.type) for f in self.schema]
         return pa.RecordBatch.from_arrays(columns, schema=self.schema)
 
 
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    """JSON values as an Arrow array, fields of objects one after the other."""
+    if pa.types.is_struct(kind) and kind.num_fields:
+        fields = [kind.field(i) for i in range(kind.num_fields)]
+        held = [_column([None if v is None else v.get(f.name) for v in values], f.type) for f in fields]
+        missing = pa.array([v is None for v in values], pa.bool_())
+        return pa.StructArray.from_arrays(held, fields=fields, mask=missing)
+    if not _is_plain(kind):
+        values = [_read_value(v, kind) for v in values]
+    return pa.array(values, kind)
+
+
+def _is_plain(kind: pa.DataType) -> bool:
+    """Whether Arrow takes the JSON values of this type as they are."""
+    if pa.types.is_list(kind):
+        return _is_plain(kind.value_type)
+    return pa.types.is_integer(kind) or pa.types.is_string(kind) or pa.types.is_boolean(kind)
+
+
 def _read_value(value, kind: pa.DataType):
     """A JSON value as Arrow takes it."""
     if value is None:
         return None
-    if pa.types.is_timestamp(kind) or pa.types.is_date(kind):
-        moment = datetime.datetime.fromisoformat(value)
-        return moment.date() if pa.types.is_date(kind) else moment
+    if pa.types.is_timestamp(kind):
+        return datetime.datetime.fromisoformat(value)
+    if pa.types.is_date(kind):
+        return datetime.datetime.fromisoformat(value).date()
     if pa.types.is_decimal(kind):
         return decimal.Decimal(str(value))
     if pa.types.is_floating(kind):
@@ -165,6 +219,53 @@ def _written_value(value):
     raise TypeError(f"{type(value).__name__} is no JSON")
 
 
+_encode = json.JSONEncoder(ensure_ascii=False, default=_written_value).encode
+
+
+def _texts(column: pa.Array) -> list[str]:
+    """The JSON of each value of a column, as ``json.dumps`` has it."""
+    kind = column.type
+    if pa.types.is_struct(kind) and kind.num_fields:
+        held = [_texts(c) for c in column.flatten()]
+        texts = _objects([kind.field(i).name for i in range(kind.num_fields)], held)
+    elif pa.types.is_list(kind):
+        # A null list has no items, whatever its place holds.
+        items, ends = _texts(column.flatten()), pc.fill_null(pc.list_value_length(column), 0)
+        ends = [0, *pc.cumulative_sum(pc.cast(ends, pa.int64())).to_pylist()]
+        texts = [f"[{', '.join(items[i:j])}]" for i, j in zip(ends, ends[1:])]
+    elif pa.types.is_integer(kind) or pa.types.is_boolean(kind):
+        texts = column.cast(pa.string()).to_numpy(zero_copy_only=False).tolist()
+    elif pa.types.is_float64(kind):
+        texts = _encode(pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False).tolist())
+        texts = texts[1:-1].split(", ") if len(column) else []
+    elif pa.types.is_string(kind):
+        found = column.fill_null("").to_numpy(zero_copy_only=False).tolist()
+        texts = [json.encoder.encode_basestring(v) for v in found]
+    else:
+        # Each value once, where they repeat.
+        found = column.dictionary_encode() if pa.types.is_timestamp(kind) else None
+        if found is None:
+            return [_encode(v) for v in column.to_pylist()]
+        texts = [_encode(v) for v in found.dictionary.to_pylist()]
+        texts = [texts[i] for i in found.indices.fill_null(0).to_numpy().tolist()] if texts else ["null"] * len(column)
+    if column.null_count:
+        texts = [t if there else "null" for t, there in zip(texts, column.is_valid().to_pylist())]
+    return texts
+
+
+def _objects(names: list[str], fields: list[list[str]]) -> list[str]:
+    """JSON objects of the texts of their fields."""
+    pattern = ", ".join(f"{_encode(name)}: ".replace("%", "%%") + "%s" for name in names)
+    pattern = f"{{{pattern}}}"
+    return [pattern % row for row in zip(*fields)]
+
+
+def _lines_of(batch: pa.RecordBatch) -> bytes:
+    if not batch.num_columns:
+        return b"{}\n" * batch.num_rows
+    return "".join(f"{line}\n" for line in _objects(batch.schema.names, [_texts(c) for c in batch.columns])).encode()
+
+
 @dataclass
 class Written(WriterCommitMessage):
     file: str
@@ -185,9 +286,7 @@ class DumpWriter(DataSourceArrowWriter):
         documents = 0
         with system.open_output_stream(f"{folder}/{DATA}/{name}") as stream:
             for batch in batches:
-                for document in batch.to_pylist():
-                    text = json.dumps(document, ensure_ascii=False, default=_written_value)
-                    stream.write(text.encode() + b"\n")
+                stream.write(_lines_of(batch))
                 documents += batch.num_rows
             size = stream.tell()
         return Written(name, size, documents)

@@ -3,12 +3,13 @@
 import datetime
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from purchase_signals.__main__ import main
 from purchase_signals.sinks.parquet import append_load
-from purchase_signals.sources import extract_to_lake
+from purchase_signals.sources import dump, extract_to_lake
 from purchase_signals.sources.dump import register
 from purchase_signals.plans import load_lines
 
@@ -93,3 +94,37 @@ def test_lines_into_the_store_and_steps(spark, rows, tmp_path):
     assert sorted(map(str, spark.read.parquet(done["extracted"]).collect())) == [
         "Row(a=1, s='x')", "Row(a=1, s='x')", "Row(a=2, s=None)", "Row(a=2, s=None)",
     ]
+
+
+def test_many_ranges_are_dealt_to_a_bounded_number_of_tasks(spark, rows, tmp_path):
+    path = str(tmp_path / "dump")
+    rows.write.format("document_dump").mode("append").save(path)
+    # Some 75,000 ranges.
+    read = spark.read.format("document_dump").schema(SCHEMA).option("range_bytes", "1").load(path)
+    assert read.rdd.getNumPartitions() <= dump.TASKS + 4
+    assert told(read) == told(rows)
+
+
+def test_tasks_of_many_ranges_cover_each_byte_once():
+    ranges = [dump.Range(f"f{i % 3}", j, j + 7) for i in range(3) for j in range(0, 7 * 700, 7)]
+    tasks = dump._dealt(ranges)
+    assert 500 < len(tasks) <= dump.TASKS
+    for file in ("f0", "f1", "f2"):
+        held = sorted((r.start, r.end) for t in tasks for r in t.ranges if r.file == file)
+        assert [start for start, _ in held] == [0, *[end for _, end in held[:-1]]] and held[-1][1] == 4900
+    # Tasks hold no more than a default range, however many that makes.
+    large = dump._dealt([dump.Range("f", j << 20, (j + 1) << 20) for j in range(65_000)])
+    assert {sum(r.end - r.start for r in t.ranges) for t in large[:-1]} <= {dump.RANGE_BYTES, 65 << 20}
+
+
+def test_documents_are_written_as_json_dumps_has_them():
+    values = pa.table({
+        "f": pa.array([None, 1e300, -0.0, 3.0], pa.float64()), "s %": pa.array([None, 'é"\\\x01', "", "%s"]),
+        "t": pa.array([None, 0, 1, 86400_000_000], pa.timestamp("us", "UTC")),
+        "o": pa.array([None, {"x": None, "l": None}, {"x": 1, "l": ["a, b", None]}, {"x": 2, "l": []}],
+                      pa.struct([("x", pa.int32()), ("l", pa.list_(pa.string()))])),
+        "m": pa.array([None, [("k", 1)], [], [("k", None)]], pa.map_(pa.string(), pa.int64())),
+    }).to_batches()[0]
+    for batch in (values, values.slice(1, 2), values.slice(2, 0)):
+        plain = [json.dumps(d, ensure_ascii=False, default=dump._written_value) for d in batch.to_pylist()]
+        assert dump._lines_of(batch).decode().splitlines() == plain
