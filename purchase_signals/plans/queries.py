@@ -221,7 +221,7 @@ def _lines_file(spark, sf_dir):
         .when(n % 29 == 0, F.concat(F.lit("["), n, F.lit("]")))
         .otherwise(line)
     )
-    lines = table(spark, sf_dir, "events").select(F.concat(F.lit("  "), line, F.lit(",")).alias("value"))
+    lines = spread(table(spark, sf_dir, "events")).select(F.concat(F.lit("  "), line, F.lit(",")).alias("value"))
     edges = spark.createDataFrame([("[",), ("]",), ("",)], "value string")
     lines.unionByName(edges).write.text(path)
     return path

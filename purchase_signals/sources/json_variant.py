@@ -17,9 +17,10 @@ def variant_lines(spark: SparkSession, path) -> DataFrame:
     ``line`` is stripped of white space and one comma at its end, ``_document`` a variant,
     null where the line is not exactly one JSON object.
     """
-    line = clean_json_line(F.col("value")).alias(LINE)
-    lines = spark.read.text(path).select(line).where(~F.col(LINE).isin("", "[", "]"))
-    return parsed_lines(lines)
+    line = clean_json_line(F.col("value"))
+    # What is cleaned above is not cleaned once more for the condition if it shows without.
+    kept = F.startswith(F.ltrim("value"), F.lit("{")) | ~line.isin("", "[", "]")
+    return parsed_lines(spark.read.text(path).where(kept).select(line.alias(LINE)))
 
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
@@ -74,24 +75,42 @@ def inferred_schema(parsed: DataFrame) -> tuple[T.StructType, list[str]]:
 
     One aggregation: tasks send a schema each. A field whose values do not have one type is
     kept as JSON text, also inside objects and lists; whole numbers and fractions are one
-    type. A field that is always null is text. Only if types differ anywhere are the documents read
-    once more, to tell numbers of several kinds from the rest.
+    type. A field that is always null is text. Where types differ numbers of several kinds are told from
+    the rest: in the same aggregation where a first look at some documents shows the place, else
+    by reading the documents once more.
     """
-    held = parsed.where(F.col(DOCUMENT).isNotNull())
-    text = held.agg(F.schema_of_variant_agg(DOCUMENT)).first()[0]
+    # Null documents count for nothing in any of these; a filter on them would parse lines twice.
+    schema = F.schema_of_variant_agg(DOCUMENT)
+
+    def alike(places: list[Place]) -> list[Column]:
+        return [F.bool_and(_is_number(F.col(DOCUMENT), p)) for p in places]
+
+    looked = list(_mixed(parsed.limit(LOOK).agg(schema).first()[0])[1])
+    text, *numbers = parsed.agg(schema, *alike(looked)).first()
+    fields, mixed = _mixed(text)
+    numbers = dict(zip(looked, numbers, strict=True))
+    missed = [p for p in mixed if p not in numbers]
+    if missed:
+        numbers |= dict(zip(missed, parsed.agg(*alike(missed)).first(), strict=True))
+    mixed |= {p: T.DoubleType() for p in mixed if numbers[p]}
+    texts = [p for p, kind in mixed.items() if isinstance(kind, T.StringType)]
+    names = [".".join("[]" if n is ITEM else n for n in p) for p in texts]
+    return (_storable(fields, (), mixed) if fields.names else fields), names
+
+
+# Documents of a task that are looked at before all of them are.
+LOOK = 1_000
+
+
+def _mixed(text: str) -> tuple[T.StructType, dict[Place, T.DataType]]:
+    """The fields that a variant's schema names, and the places where types differ."""
     if not text.startswith("OBJECT<") or text == "OBJECT<>":
-        return T.StructType([]), []
+        return T.StructType([]), {}
     # Names in back quotes may hold anything.
     ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<>|OBJECT<", lambda m: _DDL.get(m[0], m[0]), text)
     fields, mixed = T.DataType.fromDDL(ddl), {}
-    schema = _storable(fields, (), mixed)
-    if mixed:
-        places = list(mixed)
-        numbers = held.agg(*[F.bool_and(_is_number(F.col(DOCUMENT), p)) for p in places]).first()
-        mixed |= {p: T.DoubleType() for p, alike in zip(places, numbers, strict=True) if alike}
-        schema = _storable(fields, (), mixed)
-    texts = [p for p, kind in mixed.items() if isinstance(kind, T.StringType)]
-    return schema, [".".join("[]" if n is ITEM else n for n in p) for p in texts]
+    _storable(fields, (), mixed)
+    return fields, mixed
 
 
 _DDL = {"OBJECT<>": "VOID", "OBJECT<": "STRUCT<"}
@@ -105,6 +124,15 @@ def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")[name]
 
 
+def _cast(value: Column, field: T.StructField) -> Column:
+    """One field in its declared type, without its variant in between where a path can name it."""
+    kind = field.dataType.simpleString()
+    for quote in "'\"":
+        if quote not in field.name:
+            return F.try_variant_get(value, f"$[{quote}{field.name}{quote}]", kind)
+    return F.try_variant_get(_field(value, field.name), "$", kind)
+
+
 def _is_misfit(value: Column, kind: T.DataType) -> Column:
     """Whether ``value`` holds anything, itself or within, that cannot be cast to ``kind``."""
     there = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
@@ -131,8 +159,11 @@ def typed_fields(schema: T.StructType) -> tuple[dict[str, Column], dict[str, Col
     """
     values, misfits = {}, {}
     for field in schema:
-        held = _field(F.col(DOCUMENT), field.name)
-        values[field.name] = F.try_variant_get(held, "$", field.dataType.simpleString())
+        values[field.name] = _cast(F.col(DOCUMENT), field)
         if not isinstance(field.dataType, T.StringType):
+            held = _field(F.col(DOCUMENT), field.name)
             misfits[field.name] = _is_misfit(held, field.dataType)
+            if not isinstance(field.dataType, T.ArrayType | T.StructType):
+                # Only what comes as null is looked at again.
+                misfits[field.name] = values[field.name].isNull() & misfits[field.name]
     return values, misfits

@@ -1,6 +1,7 @@
 """JSON lines of any shape: what is kept, what is rejected, and how types are found."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from purchase_signals.__main__ import main
 from purchase_signals.plans import load_json, load_lines, read_loaded, read_rejected, sample_json
 from purchase_signals.schema import REVIEW_SCHEMA
+from purchase_signals.sources import json_variant
 from purchase_signals.sources.json_variant import inferred_schema, variant_lines
 
 
@@ -111,6 +113,49 @@ def test_one_parse_and_one_write(spark, tmp_path):
     assert plan.count("parseJson(") == 1 and plan.count("FileScan text") == 1
 
 
+def _jobs(spark, work):
+    """How many jobs ``work`` starts, and what it returns."""
+    group = f"counted-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_types_that_a_first_look_shows_need_no_further_reading(spark, tmp_path, monkeypatch):
+    documents = [{"a": i, "b": {"c": 1.5}} for i in range(50)] + [{"a": "x", "b": {"c": 1}}, {"a": 1e300, "b": {"c": 1e300}}]
+    parsed = variant_lines(spark, write(tmp_path, [json.dumps(d) for d in [*documents[::-1], "no object"]]))
+    seen = []
+    plain = json_variant._is_number
+    monkeypatch.setattr(json_variant, "_is_number", lambda v, p: seen.append(p) or plain(v, p))
+    (found, conflicts), early = _jobs(spark, lambda: inferred_schema(parsed))
+    assert len({p for p in seen if p == ("a",)}) == 1
+    # The same where the look misses them, by one more reading.
+    monkeypatch.setattr(json_variant, "LOOK", 0)
+    (again, more), late = _jobs(spark, lambda: inferred_schema(parsed))
+    assert early < late and (again, more) == (found, conflicts)
+    assert found.simpleString() == "struct<a:string,b:struct<c:double>>" and conflicts == ["a"]
+
+
+def test_lines_are_parsed_once_for_their_types(spark, tmp_path):
+    parsed = variant_lines(spark, write(tmp_path, ['{"a":1}', "{bad"]))
+    plans = []
+    plain = type(parsed).agg
+
+    def kept(self, *columns):
+        result = plain(self, *columns)
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+        return result
+
+    type(parsed).agg = kept
+    try:
+        inferred_schema(parsed)
+    finally:
+        type(parsed).agg = plain
+    assert plans and all(p.count("parseJson(") == 1 for p in plans)
+
+
 def test_other_formats_get_the_documents(spark, tmp_path):
     target = str(tmp_path / "t")
     result = load_lines(spark, write(tmp_path, ['{"a":1}', "{bad"]), target, fmt="json")
