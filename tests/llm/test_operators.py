@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from purchase_signals.llm import bpe, minhash_dedup, packing
+from purchase_signals.llm import bpe, minhash_dedup, order_minhash, packing
 from purchase_signals.llm.embedding_dedup import near_vectors
 from purchase_signals.llm.html_text import extract, main_text
 from purchase_signals.llm.minhash_dedup import near_duplicates
@@ -282,6 +282,30 @@ def test_fingerprints_keep_rows_that_repeat_or_lack_an_id(spark, odd):
     assert len(strange) == len(ODD) and sum(r.doc_id == 3 for r in strange) == 2
 
 
+@pytest.mark.parametrize("near", [2, None])
+def test_items_taken_near_points_are_all_that_count(spark, odd, monkeypatch, near):
+    """Row by row and near the points only, fingerprints are those of all items; also where few are near."""
+    if near:
+        monkeypatch.setattr(order_minhash, "_NEAR", near)
+    random = np.random.default_rng(11)
+    texts = ["".join(random.choice(list("abcdefgh "), n)) for n in (5, 6, 7, 8, 9, 40, 300, 3000, 9000)]
+    texts += ["a" * 3000, "ab" * 900 + texts[6], "the same words! " * 150, "é€ß " * 200, "", "abcdef" * 3]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "of an id that repeats"), (3, texts[7]), (None, texts[8])] + [(4, texts[6])] * 3
+    for rows in (rows[: len(texts)], rows):
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        found = compared_with_edited(table).collect()
+        own = lambda rows: sorted((r.doc_id is not None, r.doc_id or 0, r.fingerprint) for r in rows)
+        assert len(found) == len(rows) and own(found) == own(fingerprints(table).collect())
+        order = [(d, t, hashlib.sha256(t.encode()).hexdigest()) for d, t in rows]
+        order.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+        edited = [
+            (d, t[: len(t) - len(t) // 4] + after[: len(t) // 4])
+            for (d, t, _), (_, after, _) in zip(order, order[1:] + order[:1], strict=True)
+        ]
+        edited = own(fingerprints(spark.createDataFrame(edited, "doc_id long, text string")).collect())
+        assert sorted((r.doc_id is not None, r.doc_id or 0, r.edited_fingerprint) for r in found) == edited
+
+
 def test_main_text(spark):
     page = (
         "<html><head><title>T</title></head><body><header>Head</header><nav><a href=x>Home, sweet</a></nav>"
